@@ -104,8 +104,8 @@ ORACLE_SQL: dict[str, str] = {
     ),
     sized AS (
         SELECT doc_id, coalesce(strlen(text), 0) + 16 AS size, text,
-               xor(list_reduce(list_prepend(4294967295::BIGINT, list_transform(range(strlen(coalesce(text, ''))),
-                   lambda i: ('0x' || hex(encode(coalesce(text, '')))[2 * i + 1 : 2 * i + 2])::BIGINT)),
+               xor(list_reduce(list_prepend(4294967295::BIGINT, list_transform(regexp_extract_all(hex(encode(coalesce(text, ''))), '..'),
+                   lambda b: ('0x' || b)::BIGINT)),
                    lambda c, b: xor(c // 256, t[xor(c % 256, b) + 1])), 4294967295) AS text_crc32
         FROM documents, crc_table
     )
