@@ -7,6 +7,8 @@ import json
 import re
 import zlib
 from collections.abc import Iterator
+from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pandas as pd
@@ -22,10 +24,8 @@ BYTE_PIECES = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\
 #: hold any are cut by the tokenizers library's own code.
 BYTE_OTHERS = re.compile(r"[^\x00-\u0557\u2010-\u2026]")
 WORD_OTHERS = re.compile(r"[^\x00-\x1b\x20-\xb1\xb4-\xb8\xba\xbb\xbf-\u02ff\u2010-\u2026]")
-#: Pieces of BPE files with word ends (fixed value in meaning), for the remaining characters in lower case.
-WORD_PIECES_FAST = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[^\W\d_]+|\d|(?:[^\w\s]|_)+")
-#: Pieces whose ids a worker remembers, and characters that it works on at once.
-REMEMBERED, CHARS = 1_000_000, 2_000_000
+#: Pieces whose ids a worker remembers, their characters, and characters that it works on at once.
+REMEMBERED, REMEMBERED_CHARS, CHARS = 1_000_000, 20_000_000, 1_000_000
 
 
 def default_path(name: str) -> str:
@@ -41,6 +41,19 @@ def _gather(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
     return np.arange(total) + np.repeat(starts - (ends - lengths), lengths)
 
 
+class _Numbers(dict):
+    """Numbers keys in the order of their first look-up and lists the new ones."""
+
+    def __init__(self) -> None:
+        super().__init__()
+        self.new: list[str] = []
+
+    def __missing__(self, key: str) -> int:
+        n = self[key] = len(self)
+        self.new.append(key)
+        return n
+
+
 class Pieces:
     """Ids of the pieces seen so far, in one flat array; forgets all when it holds too many."""
 
@@ -49,19 +62,19 @@ class Pieces:
         self._clear()
 
     def _clear(self) -> None:
-        self.index: dict[str, int] = {}
+        self.index, self.chars = _Numbers(), 0
         self.flat, self.used = np.zeros(1 << 16, np.int32), 0
         self.starts, self.lengths = np.zeros(1 << 14, np.int64), np.zeros(1 << 14, np.int64)
 
     def ids(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """The ids of all pieces, one after another, and the number of each piece's ids."""
-        if len(self.index) > REMEMBERED:
+        if len(self.index) > REMEMBERED or self.chars > REMEMBERED_CHARS:
             self._clear()
-        index = self.index
-        new = [p for p in set(pieces) if p not in index]
+        index, first = self.index, len(self.index)
+        at = np.fromiter(map(index.__getitem__, pieces), np.int64, len(pieces))
+        new, index.new = index.new, []
         if new:
             flat, lengths = self.encode(new)
-            first = len(index)
             while self.used + len(flat) > len(self.flat):
                 self.flat = np.concatenate([self.flat, np.zeros_like(self.flat)])
             while first + len(new) > len(self.starts):
@@ -71,8 +84,7 @@ class Pieces:
             self.starts[first : first + len(new)] = self.used + ends - lengths
             self.lengths[first : first + len(new)] = lengths
             self.used += len(flat)
-            index.update(zip(new, range(first, first + len(new)), strict=True))
-        at = np.fromiter(map(index.__getitem__, pieces), np.int64, len(pieces))
+            self.chars += sum(map(len, new))
         lengths = self.lengths[at]
         return self.flat[_gather(self.starts[at], lengths)], lengths
 
@@ -218,6 +230,12 @@ def portions(texts: list[str]) -> Iterator[slice]:
         yield slice(lo, len(texts))
 
 
+@lru_cache(maxsize=1)
+def byte_bpe(path: str) -> ByteBpe:
+    """One for all tasks of a worker, with the pieces it has seen."""
+    return ByteBpe(path)
+
+
 def round_trip(docs: DataFrame, path: str | None = None) -> DataFrame:
     """Encode each whole text by a byte-level BPE file and decode it again.
 
@@ -229,7 +247,7 @@ def round_trip(docs: DataFrame, path: str | None = None) -> DataFrame:
     path = path or default_path("byte_bpe_50k.json")
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        bpe = ByteBpe(path)
+        bpe = byte_bpe(path)
         for frame in frames:
             texts = frame["text"].tolist()
             counts, hashes, back = [], [], []
@@ -249,7 +267,10 @@ def round_trip(docs: DataFrame, path: str | None = None) -> DataFrame:
 
 
 class WordBpe:
-    """A BPE file with word ends: pieces are cut here, new ones encoded by the library and remembered."""
+    """A BPE file with word ends.
+
+    No token spans white space, so texts are cut there, and the library encodes each new word once.
+    """
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
@@ -260,20 +281,19 @@ class WordBpe:
         with open(path, encoding="utf-8") as f:
             special = [t["content"] for t in json.load(f)["added_tokens"]]
         self.others = re.compile("|".join([WORD_OTHERS.pattern, *map(re.escape, special)]))
-        self.pieces = WORD_PIECES_FAST
         self.known = Pieces(self._new)
 
     def _new(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
         out = [e.ids for e in self.tokenizer.encode_batch_fast(words, add_special_tokens=False)]
-        lengths = np.array([len(x) for x in out], np.int64)
-        return np.fromiter((i for x in out for i in x), np.int32, int(lengths.sum())), lengths
+        lengths = np.fromiter(map(len, out), np.int64, len(out))
+        return np.fromiter(chain.from_iterable(out), np.int32, int(lengths.sum())), lengths
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         plain = [not self.others.search(t) for t in texts]
         pieces, counts = [], []
         for text, easy in zip(texts, plain, strict=True):
             if easy:
-                own = self.pieces.findall(text.lower())
+                own = text.lower().split()
                 pieces += own
                 counts.append(len(own))
         ids, lengths = self.known.ids(pieces)
@@ -285,6 +305,12 @@ class WordBpe:
         ]
 
 
+@lru_cache(maxsize=1)
+def word_bpe(path: str) -> WordBpe:
+    """One for all tasks of a worker, with the words it has seen."""
+    return WordBpe(path)
+
+
 def cut_pieces(docs: DataFrame, path: str | None = None, most: int = 4096, end_id: int = 1) -> DataFrame:
     """Tokenize whole texts, append ``end_id`` and cut the ids into pieces of ``most`` at most.
 
@@ -293,7 +319,7 @@ def cut_pieces(docs: DataFrame, path: str | None = None, most: int = 4096, end_i
     path = path or default_path("word_bpe_49k.json")
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        bpe = WordBpe(path)
+        bpe = word_bpe(path)
         end = np.array([end_id], np.int32)
         for frame in frames:
             texts, keys, rows = frame["text"].tolist(), frame["doc_id"].tolist(), []
