@@ -65,6 +65,18 @@ def range_of(key: Column, splits: list[int]) -> Column:
     )
 
 
+#: Rows and bytes that a Python worker receives at once, so that long texts don't fill its memory.
+BATCH_ROWS, BATCH_BYTES = 1000, 16 << 20
+
+
+def texts_for_python(docs: DataFrame) -> DataFrame:
+    """doc_id (long) and text (null: empty) for a function over batches, which are kept small."""
+    conf = docs.sparkSession.conf
+    conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+    conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_or_empty().alias("text"))
+
+
 def text_or_empty(col: str = "text") -> Column:
     return F.coalesce(F.col(col).cast("string"), F.lit(""))
 

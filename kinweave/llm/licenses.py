@@ -9,9 +9,8 @@ from dataclasses import dataclass
 import ahocorasick
 import pandas as pd
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
-from kinweave.llm.common import text_or_empty
+from kinweave.llm.common import texts_for_python
 from kinweave.llm.license_rules import ADDRESSES, NOTICES, SPDX, TITLES
 
 #: Phrases whose places are always counted, and their labels (fixed values).
@@ -156,7 +155,7 @@ def scan(docs: DataFrame) -> DataFrame:
             out.insert(0, "doc_id", frame["doc_id"].astype("Int64").to_numpy())
             yield out.astype({"doc_id": "Int64"})
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_or_empty().alias("text")).mapInPandas(
+    return texts_for_python(docs).mapInPandas(
         run,
         "doc_id long, n_words long, n_base long, first_word long, last_word long, base_labels string, labels string, score double, spans string",
     )

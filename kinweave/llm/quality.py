@@ -7,10 +7,10 @@ from dataclasses import dataclass
 import numpy as np
 import pandas as pd
 import zstandard
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kinweave.llm.common import crc_of_id, text_or_empty
+from kinweave.llm.common import BATCH_BYTES, BATCH_ROWS, crc_of_id, text_or_empty
 
 #: Labelled rows a class that the fit takes, by the order of a hash of their ids; a bound of the driver's memory.
 ROWS_PER_CLASS = 4000
@@ -90,6 +90,10 @@ def _logistic(x: np.ndarray, y: np.ndarray) -> tuple[float, float]:
 def difference_of(text: Column, model: Model) -> Column:
     """The normalised difference of whole texts, 0 for an empty one."""
 
+    conf = SparkSession.active().conf
+    conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+    conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
+
     @F.pandas_udf("double")
     def difference(texts: pd.Series) -> pd.Series:
         of = model.scorer()

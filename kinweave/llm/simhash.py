@@ -11,7 +11,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from kinweave.llm.common import settle, text_or_empty
+from kinweave.llm.common import settle, text_or_empty, texts_for_python
 from kinweave.llm.components import components
 
 BITS = 64
@@ -70,7 +70,7 @@ def fingerprints(docs: DataFrame, words: int = 3) -> DataFrame:
             own = np.array([fingerprint(t, words) for t in frame["text"]], np.uint64)
             yield pd.DataFrame({"doc_id": frame["doc_id"].astype("Int64"), "f": own.view(np.int64)})
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_or_empty().alias("text")).mapInPandas(run, "doc_id long, f long")
+    return texts_for_python(docs).mapInPandas(run, "doc_id long, f long")
 
 
 def covering_masks(radius: int, bits: int = BITS) -> list[int]:
@@ -157,7 +157,7 @@ def sketches(docs: DataFrame, words: int) -> DataFrame:
                 n.append(len(h))
             yield pd.DataFrame({"doc_id": frame["doc_id"].astype("Int64"), "w": w, "n": n})
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_or_empty().alias("text")).mapInPandas(
+    return texts_for_python(docs).mapInPandas(
         run, "doc_id long, w array<long>, n long"
     )
 

@@ -12,11 +12,12 @@ from itertools import chain
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
-from kinweave.llm.common import text_or_empty
+from kinweave.llm.common import texts_for_python
 
 #: Pieces of text before the merges, as byte-level BPE files of this kind cut them (fixed value).
 BYTE_PIECES = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
@@ -25,7 +26,9 @@ BYTE_PIECES = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\
 BYTE_OTHERS = re.compile(r"[^\x00-\u0557\u2010-\u2026]")
 WORD_OTHERS = re.compile(r"[^\x00-\x1b\x20-\xb1\xb4-\xb8\xba\xbb\xbf-\u02ff\u2010-\u2026]")
 #: Pieces whose ids a worker remembers, their characters, and characters that it works on at once.
-REMEMBERED, REMEMBERED_CHARS, CHARS = 1_000_000, 20_000_000, 1_000_000
+REMEMBERED, REMEMBERED_CHARS, CHARS = 500_000, 20_000_000, 4_000_000
+#: Characters of a piece that is not worth remembering when room is short.
+LONG_PIECE = 64
 
 
 def default_path(name: str) -> str:
@@ -55,21 +58,37 @@ class _Numbers(dict):
 
 
 class Pieces:
-    """Ids of the pieces seen so far, in one flat array; forgets all when it holds too many."""
+    """Ids of the pieces seen so far, in one flat array; when it holds too many, the rarer half goes."""
 
     def __init__(self, encode):
         self.encode = encode
-        self._clear()
-
-    def _clear(self) -> None:
-        self.index, self.chars = _Numbers(), 0
-        self.flat, self.used = np.zeros(1 << 16, np.int32), 0
-        self.starts, self.lengths = np.zeros(1 << 14, np.int64), np.zeros(1 << 14, np.int64)
-
-    def ids(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """The ids of all pieces, one after another, and the number of each piece's ids."""
+        self._hold([], np.empty(0, np.int32), np.empty(0, np.int64), np.empty(0, np.int64))
+
+    def _hold(self, pieces: list[str], flat: np.ndarray, lengths: np.ndarray, seen: np.ndarray) -> None:
+        self.index, self.chars = _Numbers(), sum(map(len, pieces))
+        self.index.update(zip(pieces, range(len(pieces)), strict=True))
+        self.used = len(flat)
+        self.flat = np.concatenate([flat, np.zeros(1 << 16, np.int32)])
+        self.starts, self.lengths, self.seen = (
+            np.concatenate([x, np.zeros(1 << 14, np.int64)]) for x in (np.cumsum(lengths) - lengths, lengths, seen)
+        )
+
+    def _forget(self) -> None:
+        n, pieces = len(self.index), list(self.index)
+        room = REMEMBERED // 2 if self.chars <= REMEMBERED_CHARS else n // 4
+        kept = np.sort(np.argsort(-self.seen[:n], kind="stable")[:room])
+        lengths = self.lengths[kept]
+        flat = self.flat[_gather(self.starts[kept], lengths)]
+        self._hold([pieces[i] for i in kept.tolist() if len(pieces[i]) <= LONG_PIECE], *self._short(pieces, kept, flat, lengths))
+
+    def _short(self, pieces: list[str], kept: np.ndarray, flat: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, ...]:
+        short = np.fromiter((len(pieces[i]) <= LONG_PIECE for i in kept.tolist()), bool, len(kept))
+        return flat[np.repeat(short, lengths)], lengths[short], self.seen[kept][short] // 2
+
+    def ids(self, pieces: list[str], order: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all pieces (those at ``order``), one after another, and the number of each piece's ids."""
         if len(self.index) > REMEMBERED or self.chars > REMEMBERED_CHARS:
-            self._clear()
+            self._forget()
         index, first = self.index, len(self.index)
         at = np.fromiter(map(index.__getitem__, pieces), np.int64, len(pieces))
         new, index.new = index.new, []
@@ -78,13 +97,17 @@ class Pieces:
             while self.used + len(flat) > len(self.flat):
                 self.flat = np.concatenate([self.flat, np.zeros_like(self.flat)])
             while first + len(new) > len(self.starts):
-                self.starts, self.lengths = (np.concatenate([x, np.zeros_like(x)]) for x in (self.starts, self.lengths))
+                self.starts, self.lengths, self.seen = (np.concatenate([x, np.zeros_like(x)]) for x in (self.starts, self.lengths, self.seen))
             self.flat[self.used : self.used + len(flat)] = flat
             ends = np.cumsum(lengths)
             self.starts[first : first + len(new)] = self.used + ends - lengths
             self.lengths[first : first + len(new)] = lengths
             self.used += len(flat)
             self.chars += sum(map(len, new))
+        if order is not None:
+            at = at[order]
+        counts = np.bincount(at)
+        self.seen[: len(counts)] += counts
         lengths = self.lengths[at]
         return self.flat[_gather(self.starts[at], lengths)], lengths
 
@@ -261,11 +284,17 @@ def round_trip(docs: DataFrame, path: str | None = None) -> DataFrame:
                 counts += sizes.tolist()
             yield pd.DataFrame({"doc_id": frame["doc_id"], "n_tokens": counts, "ids_sha256": hashes, "decoded_sha256": back})
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_or_empty().alias("text")).mapInPandas(
+    return texts_for_python(docs).mapInPandas(
         run, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
     )
 
 
+def _lowered(text: str) -> str:
+    """Lower case; of the characters that WORD_OTHERS leaves, the white space that is not ASCII as blanks."""
+    lowered = text.lower()
+    return lowered if text.isascii() else lowered.replace("\x85", " ").replace("\xa0", " ")
+
+
 class WordBpe:
     """A BPE file with word ends.
 
@@ -281,6 +310,7 @@ class WordBpe:
         with open(path, encoding="utf-8") as f:
             special = [t["content"] for t in json.load(f)["added_tokens"]]
         self.others = re.compile("|".join([WORD_OTHERS.pattern, *map(re.escape, special)]))
+        self.signs = [*special, *"\x1c\x1d\x1e\x1f"]
         self.known = Pieces(self._new)
 
     def _new(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
@@ -288,16 +318,16 @@ class WordBpe:
         lengths = np.fromiter(map(len, out), np.int64, len(out))
         return np.fromiter(chain.from_iterable(out), np.int32, int(lengths.sum())), lengths
 
+    def _plain(self, text: str) -> bool:
+        return not (any(c in text for c in self.signs) if text.isascii() else self.others.search(text))
+
     def encode(self, texts: list[str]) -> list[np.ndarray]:
-        plain = [not self.others.search(t) for t in texts]
-        pieces, counts = [], []
-        for text, easy in zip(texts, plain, strict=True):
-            if easy:
-                own = text.lower().split()
-                pieces += own
-                counts.append(len(own))
-        ids, lengths = self.known.ids(pieces)
-        ends = np.concatenate([[0], np.cumsum(lengths)])[np.concatenate([[0], np.cumsum(counts)]).astype(np.int64)]
+        plain = [self._plain(t) for t in texts]
+        lowered = pa.array([_lowered(t) for t, easy in zip(texts, plain, strict=True) if easy], pa.large_string())
+        words = pc.ascii_split_whitespace(lowered)
+        coded = words.flatten().dictionary_encode()
+        ids, lengths = self.known.ids(coded.dictionary.to_pylist(), coded.indices.to_numpy())
+        ends = np.concatenate([[0], np.cumsum(lengths)])[words.offsets.to_numpy() - words.offsets[0].as_py()]
         easy_ids = (ids[a:b] for a, b in zip(ends[:-1], ends[1:], strict=True))
         return [
             next(easy_ids) if easy else np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, np.int32)
@@ -331,6 +361,6 @@ def cut_pieces(docs: DataFrame, path: str | None = None, most: int = 4096, end_i
                         rows.append((key, k, lo, len(own), zlib.crc32(own.tobytes())))
             yield pd.DataFrame(rows, columns=["doc_id", "piece", "start", "length", "ids_crc32"]).astype({"doc_id": "Int64"})
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_or_empty().alias("text")).mapInPandas(
+    return texts_for_python(docs).mapInPandas(
         run, "doc_id long, piece int, start long, length long, ids_crc32 long"
     )
