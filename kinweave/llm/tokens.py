@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import hashlib
 import json
+import os
 import re
 import zlib
 from collections.abc import Iterator
@@ -25,9 +26,9 @@ BYTE_PIECES = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\
 #: hold any are cut by the tokenizers library's own code.
 BYTE_OTHERS = re.compile(r"[^\x00-\u0557\u2010-\u2026]")
 WORD_OTHERS = re.compile(r"[^\x00-\x1b\x20-\xb1\xb4-\xb8\xba\xbb\xbf-\u02ff\u2010-\u2026]")
-#: Pieces whose ids a worker remembers, their characters, and characters that it works on at once.
-REMEMBERED, REMEMBERED_CHARS, CHARS = 500_000, 20_000_000, 4_000_000
-#: Characters of a piece that is not worth remembering when room is short.
+#: Pieces whose ids a worker remembers, their bytes, and characters that it works on at once.
+REMEMBERED, REMEMBERED_BYTES, CHARS = 400_000, 32 << 20, 4_000_000
+#: Bytes of a piece that is not worth remembering when room is short.
 LONG_PIECE = 64
 
 
@@ -44,72 +45,42 @@ def _gather(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
     return np.arange(total) + np.repeat(starts - (ends - lengths), lengths)
 
 
-class _Numbers(dict):
-    """Numbers keys in the order of their first look-up and lists the new ones."""
-
-    def __init__(self) -> None:
-        super().__init__()
-        self.new: list[str] = []
-
-    def __missing__(self, key: str) -> int:
-        n = self[key] = len(self)
-        self.new.append(key)
-        return n
-
-
 class Pieces:
-    """Ids of the pieces seen so far, in one flat array; when it holds too many, the rarer half goes."""
+    """Ids of the pieces seen so far, in flat arrays; when it holds too many, the rarer half goes."""
 
     def __init__(self, encode):
         self.encode = encode
-        self._hold([], np.empty(0, np.int32), np.empty(0, np.int64), np.empty(0, np.int64))
-
-    def _hold(self, pieces: list[str], flat: np.ndarray, lengths: np.ndarray, seen: np.ndarray) -> None:
-        self.index, self.chars = _Numbers(), sum(map(len, pieces))
-        self.index.update(zip(pieces, range(len(pieces)), strict=True))
-        self.used = len(flat)
-        self.flat = np.concatenate([flat, np.zeros(1 << 16, np.int32)])
-        self.starts, self.lengths, self.seen = (
-            np.concatenate([x, np.zeros(1 << 14, np.int64)]) for x in (np.cumsum(lengths) - lengths, lengths, seen)
-        )
+        self.pieces = pa.array([], pa.large_string())
+        self.flat, self.lengths, self.seen = np.empty(0, np.int32), np.empty(0, np.int64), np.empty(0, np.int64)
 
     def _forget(self) -> None:
-        n, pieces = len(self.index), list(self.index)
-        room = REMEMBERED // 2 if self.chars <= REMEMBERED_CHARS else n // 4
-        kept = np.sort(np.argsort(-self.seen[:n], kind="stable")[:room])
-        lengths = self.lengths[kept]
-        flat = self.flat[_gather(self.starts[kept], lengths)]
-        self._hold([pieces[i] for i in kept.tolist() if len(pieces[i]) <= LONG_PIECE], *self._short(pieces, kept, flat, lengths))
-
-    def _short(self, pieces: list[str], kept: np.ndarray, flat: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, ...]:
-        short = np.fromiter((len(pieces[i]) <= LONG_PIECE for i in kept.tolist()), bool, len(kept))
-        return flat[np.repeat(short, lengths)], lengths[short], self.seen[kept][short] // 2
-
-    def ids(self, pieces: list[str], order: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
-        """The ids of all pieces (those at ``order``), one after another, and the number of each piece's ids."""
-        if len(self.index) > REMEMBERED or self.chars > REMEMBERED_CHARS:
+        kept = np.sort(np.argsort(-self.seen, kind="stable")[: len(self.seen) // 2])
+        kept = kept[pc.less_equal(pc.binary_length(self.pieces.take(kept)), LONG_PIECE).to_numpy(zero_copy_only=False)]
+        starts = np.cumsum(self.lengths) - self.lengths
+        self.flat = self.flat[_gather(starts[kept], self.lengths[kept])]
+        self.pieces, self.lengths, self.seen = self.pieces.take(kept), self.lengths[kept], self.seen[kept] // 2
+
+    def ids(self, pieces: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all pieces, one after another, and the number of each piece's ids."""
+        if len(self.pieces) > REMEMBERED or self.pieces.nbytes > REMEMBERED_BYTES:
             self._forget()
-        index, first = self.index, len(self.index)
-        at = np.fromiter(map(index.__getitem__, pieces), np.int64, len(pieces))
-        new, index.new = index.new, []
-        if new:
-            flat, lengths = self.encode(new)
-            while self.used + len(flat) > len(self.flat):
-                self.flat = np.concatenate([self.flat, np.zeros_like(self.flat)])
-            while first + len(new) > len(self.starts):
-                self.starts, self.lengths, self.seen = (np.concatenate([x, np.zeros_like(x)]) for x in (self.starts, self.lengths, self.seen))
-            self.flat[self.used : self.used + len(flat)] = flat
-            ends = np.cumsum(lengths)
-            self.starts[first : first + len(new)] = self.used + ends - lengths
-            self.lengths[first : first + len(new)] = lengths
-            self.used += len(flat)
-            self.chars += sum(map(len, new))
-        if order is not None:
-            at = at[order]
-        counts = np.bincount(at)
-        self.seen[: len(counts)] += counts
-        lengths = self.lengths[at]
-        return self.flat[_gather(self.starts[at], lengths)], lengths
+        coded = pieces.dictionary_encode()
+        own = coded.dictionary
+        place = pc.index_in(own, value_set=self.pieces)
+        fresh = place.is_null().to_numpy(zero_copy_only=False)
+        at = place.fill_null(0).to_numpy().astype(np.int64)
+        if fresh.any():
+            new = own.filter(pa.array(fresh))
+            flat, lengths = self.encode(new.to_pylist())
+            at[fresh] = len(self.pieces) + np.arange(len(new))
+            self.pieces = pa.concat_arrays([self.pieces, new])
+            self.flat, self.lengths = np.concatenate([self.flat, flat]), np.concatenate([self.lengths, lengths])
+            self.seen = np.concatenate([self.seen, np.zeros(len(new), np.int64)])
+        order = at[coded.indices.to_numpy()]
+        self.seen += np.bincount(order, minlength=len(self.seen))
+        lengths = self.lengths[order]
+        starts = np.cumsum(self.lengths) - self.lengths
+        return self.flat[_gather(starts[order], lengths)], lengths
 
 
 class ByteBpe:
@@ -212,7 +183,7 @@ class ByteBpe:
             else:
                 pieces += self._cut(text)
             owner_counts.append(len(pieces) - before)
-        ids, lengths = self.known.ids(pieces)
+        ids, lengths = self.known.ids(pa.array(pieces, pa.large_string()))
         if marks:
             at = np.array([m[0] for m in marks])
             ids = np.insert(ids, (np.cumsum(lengths) - lengths)[at], [m[1] for m in marks])
@@ -302,6 +273,7 @@ class WordBpe:
     """
 
     def __init__(self, path: str):
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
@@ -325,8 +297,7 @@ class WordBpe:
         plain = [self._plain(t) for t in texts]
         lowered = pa.array([_lowered(t) for t, easy in zip(texts, plain, strict=True) if easy], pa.large_string())
         words = pc.ascii_split_whitespace(lowered)
-        coded = words.flatten().dictionary_encode()
-        ids, lengths = self.known.ids(coded.dictionary.to_pylist(), coded.indices.to_numpy())
+        ids, lengths = self.known.ids(words.flatten())
         ends = np.concatenate([[0], np.cumsum(lengths)])[words.offsets.to_numpy() - words.offsets[0].as_py()]
         easy_ids = (ids[a:b] for a, b in zip(ends[:-1], ends[1:], strict=True))
         return [
