@@ -247,9 +247,8 @@ def redact(docs: DataFrame) -> DataFrame:
     columns = docs.columns
     found = _found(docs.select("doc_id", "text"))
     extra = settle(_spread(discover(found)))
-    base = docs.withColumn("_raw", F.col("text")).withColumn("text", text_or_empty()).withColumn("text_hash", F.xxhash64("text"))
-    named = [c for c in base.columns if c not in ("text", "_raw", "text_hash")]
-    held = base_spans(base.select(F.struct(*named).alias("_row") if named else F.lit(0).alias("_row"), "_raw", "text", "text_hash"))
+    base = docs.select(F.struct(*columns).alias("_row"), F.col("text").alias("_raw"), text_or_empty().alias("text"))
+    held = base_spans(base.withColumn("text_hash", F.xxhash64("text")))
     joined = held.withColumn("_id", F.col("_row")["doc_id"].cast("long")).join(
         extra.withColumnRenamed("doc_id", "x_id").withColumnRenamed("text_hash", "x_hash"),
         F.col("_id").eqNullSafe(F.col("x_id")) & (F.col("text_hash") == F.col("x_hash")),

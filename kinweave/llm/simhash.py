@@ -35,7 +35,7 @@ def _shingles(text: str, words: int) -> np.ndarray:
 
 def _majority(h: np.ndarray) -> list[int]:
     """For each column of hashes, the bits that over half of its rows have."""
-    wide = h.reshape(len(h), -1)
+    wide = h[:, None] if h.ndim == 1 else h
     count = np.zeros(BITS * wide.shape[1], np.int64)
     for lo in range(0, len(wide), BLOCK):
         rows = np.ascontiguousarray(wide[lo : lo + BLOCK], "<u8").view(np.uint8)
@@ -146,7 +146,7 @@ SKETCH_WORDS, TABLE_BITS, TABLE_RADIUS = 10, 48, 3
 
 
 def sketches(docs: DataFrame, words: int) -> DataFrame:
-    """(doc_id, w, n): SKETCH_WORDS words of SimHash of the set of word shingles, and the set's size."""
+    """(doc_id, text_hash, w, n): SKETCH_WORDS words of SimHash of the set of word shingles, and the set's size."""
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
@@ -155,10 +155,10 @@ def sketches(docs: DataFrame, words: int) -> DataFrame:
                 h = np.unique(_shingles(text, words))
                 w.append([_signed(x) for x in _majority(_mixed(h, SKETCH_WORDS))])
                 n.append(len(h))
-            yield pd.DataFrame({"doc_id": frame["doc_id"].astype("Int64"), "w": w, "n": n})
+            yield pd.DataFrame({"doc_id": frame["doc_id"].astype("Int64"), "text_hash": frame["text_hash"], "w": w, "n": n})
 
-    return texts_for_python(docs).mapInPandas(
-        run, "doc_id long, w array<long>, n long"
+    return texts_for_python(docs).withColumn("text_hash", F.xxhash64("text")).mapInPandas(
+        run, "doc_id long, text_hash long, w array<long>, n long"
     )
 
 
@@ -170,7 +170,7 @@ def likeness(w: Column, n: Column, other_w: Column, other_n: Column) -> Column:
 
 
 def near_copies(docs: DataFrame, words: int = 5, similarity: float = 0.8) -> DataFrame:
-    """Groups of documents whose sets of word shingles are alike: doc_id, class_id (the smallest doc_id).
+    """Groups of documents whose sets of word shingles are alike: doc_id, text_hash (XXH64), class_id (the smallest doc_id).
 
     At a similarity of 0.8, about 15 % of the bits differ, too many for covering tables of one word.
     So a sketch has SKETCH_WORDS independent words, and TABLE_BITS bits of each go into the buckets
@@ -196,7 +196,7 @@ def near_copies(docs: DataFrame, words: int = 5, similarity: float = 0.8) -> Dat
     )
     named = nodes.select("node", "least").join(components(alike), "node", "left").select("node", "least", F.coalesce("root", "node").alias("root"))
     ids = named.groupBy("root").agg(F.min("least").alias("class_id"))
-    return found.select("doc_id", "node").join(named.join(ids, "root").select("node", "class_id"), "node").select("doc_id", "class_id")
+    return found.select("doc_id", "text_hash", "node").join(named.join(ids, "root").select("node", "class_id"), "node").select("doc_id", "text_hash", "class_id")
 
 
 def keep_one(docs: DataFrame, words: int = 5, similarity: float = 0.8) -> DataFrame:
@@ -205,15 +205,12 @@ def keep_one(docs: DataFrame, words: int = 5, similarity: float = 0.8) -> DataFr
     Of rows that repeat an id, one stays. Rows without an id stay only if no row of their group
     has one, and then one of each distinct text.
     """
-    found = near_copies(docs.select("doc_id", "text"), words, similarity)
-    kept = settle(found.where("doc_id <=> class_id").groupBy("doc_id").agg(F.count("*").alias("n")))
-    single = kept.where("n = 1 and doc_id is not null").select("doc_id")
-    many = kept.where("n > 1 or doc_id is null").select(F.col("doc_id").alias("k"))
-    one = docs.join(single, "doc_id", "left_semi")
-    columns = docs.columns
-    text = text_or_empty()
-    rest = docs.join(many, F.col("doc_id").eqNullSafe(F.col("k")), "left_semi").withColumn("_text", text)
-    rest = rest.where(F.col("doc_id").isNotNull()).dropDuplicates(["doc_id"]).unionByName(
-        rest.where(F.col("doc_id").isNull()).dropDuplicates(["_text"])
-    )
-    return one.select(columns).unionByName(rest.select(columns))
+    found = settle(near_copies(docs.select("doc_id", "text"), words, similarity))
+    own = F.max(F.col("doc_id") == F.col("class_id"))
+    named = found.where("doc_id is not null").groupBy("doc_id").agg(F.count("*").alias("_rows"), own.alias("_own")).where("_own")
+    unnamed = found.where("doc_id is null and class_id is null").select(F.col("text_hash").alias("_kept_hash")).distinct()
+    once = docs.join(named.where("_rows = 1"), "doc_id", "left_semi")
+    again = docs.join(named.where("_rows > 1"), "doc_id", "left_semi").dropDuplicates(["doc_id"])
+    blank = docs.where(F.col("doc_id").isNull()).withColumn("_kept_text", text_or_empty())
+    blank = blank.join(unnamed, F.xxhash64("_kept_text") == F.col("_kept_hash"), "left_semi").dropDuplicates(["_kept_text"])
+    return once.unionByName(again).unionByName(blank.select(docs.columns))
