@@ -96,7 +96,7 @@ def sweep(s1: DataFrame, scored: DataFrame, truth: DataFrame, cutoffs: list[int]
 
 def choose(table: DataFrame, tolerance: float = TOLERANCE) -> DataFrame:
     """The operating point: within ``tolerance`` of the best F0.5, the fewest candidates, then the highest recall and F0.5, the smaller cutoff and threshold."""
-    finite = table.where(F.col("macro_f05").isNotNull() & ~F.isnan("macro_f05"))
+    finite = table.where(F.col("macro_f05").isNotNull() & ~F.isnan("macro_f05")).persist()  # one row a point
     best = finite.agg(F.max("macro_f05").alias("best"))
     if best.first()["best"] is None:
         raise ValueError("no operating point has a score")

@@ -93,7 +93,7 @@ def validate(matching: DataFrame, candidate: DataFrame, s1: DataFrame, pool: Dat
         found("extra_entity", df.join(population, "source1_entity_id", "left_anti"))
     outside = flat["matching"].join(flat["candidate"], ["source1_entity_id", "id"], "left_anti")
     problems.append(outside.select(F.lit("subset").alias("rule"), F.lit("warning").alias("severity"), F.concat_ws(">", "source1_entity_id", "id").alias("item")))
-    every = reduce(DataFrame.unionByName, problems)
+    every = reduce(DataFrame.unionByName, problems).persist()
     order = Window.partitionBy("rule", "severity").orderBy("item")
     first = every.withColumn("k", F.row_number().over(order)).where(F.col("k") <= examples)
     shown = first.groupBy("rule", "severity").agg(F.array_join(F.array_sort(F.collect_list("item")), ",").alias("examples"))
