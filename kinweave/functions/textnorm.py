@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import unicodedata
+from collections.abc import Callable
 from functools import lru_cache
 
 from pyspark.sql import Column
@@ -94,24 +95,36 @@ def _tables() -> tuple[list[tuple[str, str]], str, str, list[tuple[str, str]]]:
     return pairs, "".join(source + deleted), "".join(target), [(p, text) for text, p in places.items()]
 
 
+def _once(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use`` of a value that is computed once, however often ``use`` names it."""
+    return F.element_at(F.transform(F.array(value), use), 1)
+
+
 def norm_text(col: Column) -> Column:
     """Lower-case ASCII letters and digits in single spaces; null becomes the empty text.
 
-    Accents and marks vanish, Indic scripts are read as Latin. Text that is ASCII already skips the tables.
+    Accents and marks vanish, Indic scripts are read as Latin. Text that is ASCII already skips the
+    tables, text without Indic characters the composition, and text without placeholders their expansion.
     """
     pairs, source, target, places = _tables()
-    plain = F.lower(F.coalesce(col, F.lit("")))
-    wide = plain
-    for pair, one in pairs:
-        wide = F.replace(wide, F.lit(pair), F.lit(one))
-    wide = F.translate(wide, source, target)
-    few = F.regexp_replace(wide, r"[^a-z0-9\uE000-\uF8FF]+", " ")
-    spread = few
-    for place, text in places:
-        spread = F.replace(spread, F.lit(place), F.lit(text))
-    spread = F.when(few.rlike(r"[\uE000-\uF8FF]"), spread).otherwise(few)
-    clean = F.when(plain.rlike("[^\\x00-\\x7f]"), spread).otherwise(plain)
-    return F.trim(F.regexp_replace(clean, "[^a-z0-9]+", " "))
+
+    def compose(text: Column) -> Column:
+        whole = text
+        for pair, one in pairs:
+            whole = F.replace(whole, F.lit(pair), F.lit(one))
+        return F.when(text.rlike(r"[\u0900-\u0D7F]"), whole).otherwise(text)
+
+    def spread(text: Column) -> Column:
+        full = text
+        for place, reading in places:
+            full = F.replace(full, F.lit(place), F.lit(reading))
+        return F.when(text.rlike(r"[\uE000-\uF8FF]"), full).otherwise(text)
+
+    def fold(text: Column) -> Column:
+        folded = F.translate(compose(text), source, target)
+        return F.when(text.rlike(r"[^\x00-\x7f]"), _once(folded, spread)).otherwise(text)
+
+    return F.trim(F.regexp_replace(_once(F.lower(F.coalesce(col, F.lit(""))), fold), "[^a-z0-9]+", " "))
 
 
 def strip_suffixes(name: Column) -> Column:
