@@ -141,8 +141,12 @@ def hex16(f: Column) -> Column:
     return F.lower(F.lpad(F.hex(f), 16, "0"))
 
 
-#: 64-bit words of a sketch, bits of each that the covering tables see, and the tables' radius.
-SKETCH_WORDS, TABLE_BITS, TABLE_RADIUS = 10, 48, 3
+#: 64-bit words of a sketch, bits that the covering tables of one table word see, and the tables' radius.
+SKETCH_WORDS, TABLE_BITS, TABLE_RADIUS = 12, 48, 3
+#: Bits of a sketch word above those that its own table word takes; three such ends make one table word more.
+END_BITS, ENDS = BITS - TABLE_BITS, TABLE_BITS // (BITS - TABLE_BITS)
+#: Estimates this close to the similarity asked for are settled by the sets themselves (over five standard errors).
+DOUBT = 0.1
 
 
 def sketches(docs: DataFrame, words: int) -> DataFrame:
@@ -162,6 +166,30 @@ def sketches(docs: DataFrame, words: int) -> DataFrame:
     )
 
 
+def _table_words(w: Column) -> Column:
+    """The sketch's bits as words for the covering tables: each word's lower bits, then the upper ends joined by threes."""
+    ends = F.transform(w, lambda x: F.shiftrightunsigned(x, TABLE_BITS))
+    joined = []
+    for lo in range(0, SKETCH_WORDS - ENDS + 1, ENDS):
+        word = F.get(ends, F.lit(lo))
+        for k in range(1, ENDS):
+            word = word.bitwiseOR(F.shiftleft(F.get(ends, F.lit(lo + k)), k * END_BITS))
+        joined.append(word)
+    return F.concat(w, F.array(*joined))
+
+
+def shingle_sets(docs: DataFrame, wanted: DataFrame, words: int) -> DataFrame:
+    """(text_hash, h): the sorted distinct shingle hashes of the texts whose hashes ``wanted`` lists."""
+
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in frames:
+            h = [np.unique(_shingles(t, words)).view(np.int64) for t in frame["text"]]
+            yield pd.DataFrame({"text_hash": frame["text_hash"], "h": h})
+
+    texts = texts_for_python(docs).select("text", F.xxhash64("text").alias("text_hash")).join(wanted, "text_hash", "left_semi")
+    return texts.dropDuplicates(["text_hash"]).mapInPandas(run, "text_hash long, h array<long>")
+
+
 def likeness(w: Column, n: Column, other_w: Column, other_n: Column) -> Column:
     """Estimated Jaccard similarity of two shingle sets from their sketches and sizes."""
     apart = F.aggregate(F.zip_with(w, other_w, lambda a, b: F.bit_count(a.bitwiseXOR(b))), F.lit(0), lambda s, d: s + d)
@@ -173,27 +201,39 @@ def near_copies(docs: DataFrame, words: int = 5, similarity: float = 0.8) -> Dat
     """Groups of documents whose sets of word shingles are alike: doc_id, text_hash (XXH64), class_id (the smallest doc_id).
 
     At a similarity of 0.8, about 15 % of the bits differ, too many for covering tables of one word.
-    So a sketch has SKETCH_WORDS independent words, and TABLE_BITS bits of each go into the buckets
-    of covering tables of TABLE_RADIUS: sketches within that radius in any word surely meet, and
-    most wider ones do in one of the 150 tables. In a bucket, each member is compared with the
+    So a sketch has SKETCH_WORDS independent words, whose bits make 16 table words of TABLE_BITS bits,
+    each with covering tables of TABLE_RADIUS: sketches within that radius in any table word surely
+    meet, and most wider ones do in one of the 240 tables. In a bucket, each member is compared with the
     least one, by all bits and the sizes of the sets; buckets are never cut, and the comparisons
-    grow with the rows, not with the pairs. Groups are the components of the pairs that reach
+    grow with the rows, not with the pairs. Estimates within DOUBT of ``similarity`` are settled by
+    the exact likeness of the two sets. Groups are the components of the pairs that reach
     ``similarity``. Texts without words are one group. Repeated rows stay; null ids are in no
     minimum; an empty table gives no rows.
     """
     found = settle(sketches(docs, words).withColumn("node", F.xxhash64("w", "n")))
-    nodes = settle(found.groupBy("node").agg(F.first("w").alias("w"), F.first("n").alias("n"), F.min("doc_id").alias("least")))
+    nodes = settle(
+        found.groupBy("node").agg(F.first("w").alias("w"), F.first("n").alias("n"), F.min("text_hash").alias("text_hash"), F.min("doc_id").alias("least"))
+    )
     masks = covering_masks(TABLE_RADIUS, TABLE_BITS)
     held = F.split(F.lit(",".join(map(str, masks))), ",").cast("array<bigint>")
-    of_word = lambda k: F.get(F.col("w"), F.floor(k / len(masks)).cast("int")).bitwiseAND(F.get(held, k % len(masks)))
-    keys = F.transform(F.sequence(F.lit(0), F.lit(len(masks) * SKETCH_WORDS - 1)), lambda k: F.xxhash64(k, of_word(k)))
-    keyed = nodes.select("node", F.explode(keys).alias("key")).repartition("key")
+    tables = len(masks) * (SKETCH_WORDS + SKETCH_WORDS // ENDS)
+    of_word = lambda k: F.get(F.col("t"), F.floor(k / len(masks)).cast("int")).bitwiseAND(F.get(held, k % len(masks)))
+    keys = F.transform(F.sequence(F.lit(0), F.lit(tables - 1)), lambda k: F.xxhash64(k, of_word(k)))
+    keyed = nodes.select("node", _table_words(F.col("w")).alias("t")).select("node", F.explode(keys).alias("key")).repartition("key")
     shared = keyed.groupBy("key").agg(F.min("node").alias("v"), F.max("node").alias("top")).where("v < top").select("key", "v")
     pairs = keyed.join(shared, "key").where("node <> v").select(F.col("node").alias("u"), "v").distinct()
-    of = lambda name: nodes.select(F.col("node").alias(name), F.col("w").alias(f"w_{name}"), F.col("n").alias(f"n_{name}"))
-    alike = (
-        pairs.join(of("u"), "u").join(of("v"), "v").where(likeness(F.col("w_u"), F.col("n_u"), F.col("w_v"), F.col("n_v")) >= similarity).select("u", "v")
+    of = lambda name: nodes.select(F.col("node").alias(name), *[F.col(c).alias(f"{c}_{name}") for c in ("w", "n", "text_hash")])
+    guess = likeness(F.col("w_u"), F.col("n_u"), F.col("w_v"), F.col("n_v"))
+    guessed = settle(
+        pairs.join(of("u"), "u").join(of("v"), "v").select("u", "v", "text_hash_u", "text_hash_v", guess.alias("guess")).where(F.col("guess") >= similarity - DOUBT)
     )
+    open_pairs = guessed.where(F.col("guess") < similarity + DOUBT)
+    wanted = open_pairs.select(F.explode(F.array("text_hash_u", "text_hash_v")).alias("text_hash")).distinct()
+    sets = settle(shingle_sets(docs, wanted, words))
+    set_of = lambda name: sets.select(F.col("text_hash").alias(f"text_hash_{name}"), F.col("h").alias(f"h_{name}"))
+    common = F.size(F.array_intersect("h_u", "h_v"))
+    exact = open_pairs.join(set_of("u"), "text_hash_u").join(set_of("v"), "text_hash_v").where(common >= similarity * (F.size("h_u") + F.size("h_v") - common))
+    alike = guessed.where(F.col("guess") >= similarity + DOUBT).select("u", "v").unionByName(exact.select("u", "v"))
     named = nodes.select("node", "least").join(components(alike), "node", "left").select("node", "least", F.coalesce("root", "node").alias("root"))
     ids = named.groupBy("root").agg(F.min("least").alias("class_id"))
     return found.select("doc_id", "text_hash", "node").join(named.join(ids, "root").select("node", "class_id"), "node").select("doc_id", "text_hash", "class_id")
