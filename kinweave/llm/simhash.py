@@ -147,6 +147,8 @@ SKETCH_WORDS, TABLE_BITS, TABLE_RADIUS = 12, 48, 3
 END_BITS, ENDS = BITS - TABLE_BITS, TABLE_BITS // (BITS - TABLE_BITS)
 #: Estimates this close to the similarity asked for are settled by the sets themselves (over five standard errors).
 DOUBT = 0.1
+#: Low bits of a node's number that hold the logarithm of its set's size, and that logarithm's steps a unit.
+SIZE_BITS, SIZE_STEPS = 10, 64
 
 
 def sketches(docs: DataFrame, words: int) -> DataFrame:
@@ -197,6 +199,22 @@ def likeness(w: Column, n: Column, other_w: Column, other_n: Column) -> Column:
     return F.when(apart == 0, 1.0).when(n * other_n == 0, 0.0).otherwise(shared / (n + other_n - F.least(shared, n, other_n)))
 
 
+def _alike(docs: DataFrame, nodes: DataFrame, pairs: DataFrame, words: int, similarity: float) -> DataFrame:
+    """The pairs (u, v) whose sets of shingles reach ``similarity``: by estimate, or exactly where that is in doubt."""
+    of = lambda name: nodes.select(F.col("node").alias(name), *[F.col(c).alias(f"{c}_{name}") for c in ("w", "n", "text_hash")])
+    guess = likeness(F.col("w_u"), F.col("n_u"), F.col("w_v"), F.col("n_v"))
+    both = pairs.join(of("u"), "u").join(of("v"), "v").select("u", "v", "text_hash_u", "text_hash_v", guess.alias("guess"))
+    guessed = settle(both.where(F.col("guess") >= similarity - DOUBT))
+    open_pairs = guessed.where(F.col("guess") < similarity + DOUBT)
+    wanted = open_pairs.select(F.explode(F.array("text_hash_u", "text_hash_v")).alias("text_hash")).distinct()
+    sets = settle(shingle_sets(docs, wanted, words))
+    set_of = lambda name: sets.select(F.col("text_hash").alias(f"text_hash_{name}"), F.col("h").alias(f"h_{name}"))
+    common = F.size(F.array_intersect("h_u", "h_v"))
+    reached = common >= similarity * (F.size("h_u") + F.size("h_v") - common)
+    exact = open_pairs.join(set_of("u"), "text_hash_u").join(set_of("v"), "text_hash_v").where(reached)
+    return guessed.where(F.col("guess") >= similarity + DOUBT).select("u", "v").unionByName(exact.select("u", "v"))
+
+
 def near_copies(docs: DataFrame, words: int = 5, similarity: float = 0.8) -> DataFrame:
     """Groups of documents whose sets of word shingles are alike: doc_id, text_hash (XXH64), class_id (the smallest doc_id).
 
@@ -205,12 +223,15 @@ def near_copies(docs: DataFrame, words: int = 5, similarity: float = 0.8) -> Dat
     each with covering tables of TABLE_RADIUS: sketches within that radius in any table word surely
     meet, and most wider ones do in one of the 240 tables. In a bucket, each member is compared with the
     least one, by all bits and the sizes of the sets; buckets are never cut, and the comparisons
-    grow with the rows, not with the pairs. Estimates within DOUBT of ``similarity`` are settled by
-    the exact likeness of the two sets. Groups are the components of the pairs that reach
+    grow with the rows, not with the pairs; sets whose sizes alone rule out ``similarity`` are not
+    compared. Estimates within DOUBT of ``similarity`` are settled by the exact likeness of the two
+    sets. Groups are the components of the pairs that reach
     ``similarity``. Texts without words are one group. Repeated rows stay; null ids are in no
     minimum; an empty table gives no rows.
     """
-    found = settle(sketches(docs, words).withColumn("node", F.xxhash64("w", "n")))
+    low = (1 << SIZE_BITS) - 1
+    of_size = F.least(F.lit(low), F.floor(F.ln(F.col("n") + 1) * SIZE_STEPS))
+    found = settle(sketches(docs, words).withColumn("node", F.xxhash64("w", "n").bitwiseAND(F.lit(~low)).bitwiseOR(of_size)))
     nodes = settle(
         found.groupBy("node").agg(F.first("w").alias("w"), F.first("n").alias("n"), F.min("text_hash").alias("text_hash"), F.min("doc_id").alias("least"))
     )
@@ -221,19 +242,10 @@ def near_copies(docs: DataFrame, words: int = 5, similarity: float = 0.8) -> Dat
     keys = F.transform(F.sequence(F.lit(0), F.lit(tables - 1)), lambda k: F.xxhash64(k, of_word(k)))
     keyed = nodes.select("node", _table_words(F.col("w")).alias("t")).select("node", F.explode(keys).alias("key")).repartition("key")
     shared = keyed.groupBy("key").agg(F.min("node").alias("v"), F.max("node").alias("top")).where("v < top").select("key", "v")
-    pairs = keyed.join(shared, "key").where("node <> v").select(F.col("node").alias("u"), "v").distinct()
-    of = lambda name: nodes.select(F.col("node").alias(name), *[F.col(c).alias(f"{c}_{name}") for c in ("w", "n", "text_hash")])
-    guess = likeness(F.col("w_u"), F.col("n_u"), F.col("w_v"), F.col("n_v"))
-    guessed = settle(
-        pairs.join(of("u"), "u").join(of("v"), "v").select("u", "v", "text_hash_u", "text_hash_v", guess.alias("guess")).where(F.col("guess") >= similarity - DOUBT)
-    )
-    open_pairs = guessed.where(F.col("guess") < similarity + DOUBT)
-    wanted = open_pairs.select(F.explode(F.array("text_hash_u", "text_hash_v")).alias("text_hash")).distinct()
-    sets = settle(shingle_sets(docs, wanted, words))
-    set_of = lambda name: sets.select(F.col("text_hash").alias(f"text_hash_{name}"), F.col("h").alias(f"h_{name}"))
-    common = F.size(F.array_intersect("h_u", "h_v"))
-    exact = open_pairs.join(set_of("u"), "text_hash_u").join(set_of("v"), "text_hash_v").where(common >= similarity * (F.size("h_u") + F.size("h_v") - common))
-    alike = guessed.where(F.col("guess") >= similarity + DOUBT).select("u", "v").unionByName(exact.select("u", "v"))
+    size_of = lambda name: F.col(name).bitwiseAND(F.lit(low))
+    alike_in_size = F.abs(size_of("node") - size_of("v")) <= math.ceil(SIZE_STEPS * math.log(1 / similarity)) + 1
+    pairs = keyed.join(shared, "key").where((F.col("node") != F.col("v")) & alike_in_size).select(F.col("node").alias("u"), "v").distinct()
+    alike = _alike(docs, nodes, pairs, words, similarity)
     named = nodes.select("node", "least").join(components(alike), "node", "left").select("node", "least", F.coalesce("root", "node").alias("root"))
     ids = named.groupBy("root").agg(F.min("least").alias("class_id"))
     return found.select("doc_id", "text_hash", "node").join(named.join(ids, "root").select("node", "class_id"), "node").select("doc_id", "text_hash", "class_id")
