@@ -224,8 +224,9 @@ def near_copies(docs: DataFrame, words: int = 5, similarity: float = 0.8) -> Dat
     meet, and most wider ones do in one of the 240 tables. In a bucket, each member is compared with the
     least one, by all bits and the sizes of the sets; buckets are never cut, and the comparisons
     grow with the rows, not with the pairs; sets whose sizes alone rule out ``similarity`` are not
-    compared. Estimates within DOUBT of ``similarity`` are settled by the exact likeness of the two
-    sets. Groups are the components of the pairs that reach
+    compared. The member met in most tables comes first, and pairs that this has put into one
+    component are not compared again. Estimates within DOUBT of ``similarity`` are settled by the
+    exact likeness of the two sets. Groups are the components of the pairs that reach
     ``similarity``. Texts without words are one group. Repeated rows stay; null ids are in no
     minimum; an empty table gives no rows.
     """
@@ -244,8 +245,15 @@ def near_copies(docs: DataFrame, words: int = 5, similarity: float = 0.8) -> Dat
     shared = keyed.groupBy("key").agg(F.min("node").alias("v"), F.max("node").alias("top")).where("v < top").select("key", "v")
     size_of = lambda name: F.col(name).bitwiseAND(F.lit(low))
     alike_in_size = F.abs(size_of("node") - size_of("v")) <= math.ceil(SIZE_STEPS * math.log(1 / similarity)) + 1
-    pairs = keyed.join(shared, "key").where((F.col("node") != F.col("v")) & alike_in_size).select(F.col("node").alias("u"), "v").distinct()
-    alike = _alike(docs, nodes, pairs, words, similarity)
+    met = keyed.join(shared, "key").where((F.col("node") != F.col("v")) & alike_in_size).groupBy(F.col("node").alias("u"), "v").agg(F.count("*").alias("tables"))
+    # one row a node: the member it met in most tables, and all that it met, at most one a table
+    met = settle(met.groupBy("u").agg(F.max_by("v", "tables").alias("best"), F.collect_list("v").alias("all")))
+    first = settle(_alike(docs, nodes, met.select("u", F.col("best").alias("v")), words, similarity))
+    so_far = settle(nodes.select("node").join(components(first), "node", "left").select("node", F.coalesce("root", "node").alias("root")))
+    other = so_far.select(F.col("node").alias("v"), F.col("root").alias("root_v"))
+    rest = met.join(so_far, F.col("u") == F.col("node")).select("u", "root", F.explode("all").alias("v"))
+    rest = rest.join(other, (rest["v"] == other["v"]) & (F.col("root") != F.col("root_v"))).select("u", rest["v"])
+    alike = first.unionByName(_alike(docs, nodes, rest, words, similarity))
     named = nodes.select("node", "least").join(components(alike), "node", "left").select("node", "least", F.coalesce("root", "node").alias("root"))
     ids = named.groupBy("root").agg(F.min("least").alias("class_id"))
     return found.select("doc_id", "text_hash", "node").join(named.join(ids, "root").select("node", "class_id"), "node").select("doc_id", "text_hash", "class_id")
