@@ -221,11 +221,12 @@ def near_copies(docs: DataFrame, words: int = 5, similarity: float = 0.8) -> Dat
     At a similarity of 0.8, about 15 % of the bits differ, too many for covering tables of one word.
     So a sketch has SKETCH_WORDS independent words, whose bits make 16 table words of TABLE_BITS bits,
     each with covering tables of TABLE_RADIUS: sketches within that radius in any table word surely
-    meet, and most wider ones do in one of the 240 tables. In a bucket, each member is compared with the
-    least one, by all bits and the sizes of the sets; buckets are never cut, and the comparisons
-    grow with the rows, not with the pairs; sets whose sizes alone rule out ``similarity`` are not
-    compared. The member met in most tables comes first, and pairs that this has put into one
-    component are not compared again. Estimates within DOUBT of ``similarity`` are settled by the
+    meet, and most wider ones do in one of the 240 tables. In a bucket, each member is first compared
+    with the least one, by all bits and the sizes of the sets; then all others of the bucket are
+    compared with each other unless they are in one component by then. So the comparisons grow with
+    the rows for groups of near copies, but with the pairs for members of one bucket that are not
+    alike. Buckets are never cut; sets whose sizes alone rule out ``similarity`` are not compared.
+    The member met in most tables comes first. Estimates within DOUBT of ``similarity`` are settled by the
     exact likeness of the two sets. Groups are the components of the pairs that reach
     ``similarity``. Texts without words are one group. Repeated rows stay; null ids are in no
     minimum; an empty table gives no rows.
@@ -243,17 +244,29 @@ def near_copies(docs: DataFrame, words: int = 5, similarity: float = 0.8) -> Dat
     keys = F.transform(F.sequence(F.lit(0), F.lit(tables - 1)), lambda k: F.xxhash64(k, of_word(k)))
     keyed = nodes.select("node", _table_words(F.col("w")).alias("t")).select("node", F.explode(keys).alias("key")).repartition("key")
     shared = keyed.groupBy("key").agg(F.min("node").alias("v"), F.max("node").alias("top")).where("v < top").select("key", "v")
-    size_of = lambda name: F.col(name).bitwiseAND(F.lit(low))
-    alike_in_size = F.abs(size_of("node") - size_of("v")) <= math.ceil(SIZE_STEPS * math.log(1 / similarity)) + 1
-    met = keyed.join(shared, "key").where((F.col("node") != F.col("v")) & alike_in_size).groupBy(F.col("node").alias("u"), "v").agg(F.count("*").alias("tables"))
+    buckets = settle(keyed.join(shared, "key").select("key", "node", "v"))
+    size_of = lambda c: c.bitwiseAND(F.lit(low))
+    alike_in_size = lambda a, b: F.abs(size_of(a) - size_of(b)) <= math.ceil(SIZE_STEPS * math.log(1 / similarity)) + 1
+    met = buckets.where((F.col("node") != F.col("v")) & alike_in_size(F.col("node"), F.col("v")))
+    met = met.groupBy(F.col("node").alias("u"), "v").agg(F.count("*").alias("tables"))
     # one row a node: the member it met in most tables, and all that it met, at most one a table
     met = settle(met.groupBy("u").agg(F.max_by("v", "tables").alias("best"), F.collect_list("v").alias("all")))
     first = settle(_alike(docs, nodes, met.select("u", F.col("best").alias("v")), words, similarity))
-    so_far = settle(nodes.select("node").join(components(first), "node", "left").select("node", F.coalesce("root", "node").alias("root")))
+    roots_of = lambda edges: settle(nodes.select("node").join(components(edges), "node", "left").select("node", F.coalesce("root", "node").alias("root")))
+    so_far = roots_of(first)
     other = so_far.select(F.col("node").alias("v"), F.col("root").alias("root_v"))
     rest = met.join(so_far, F.col("u") == F.col("node")).select("u", "root", F.explode("all").alias("v"))
     rest = rest.join(other, (rest["v"] == other["v"]) & (F.col("root") != F.col("root_v"))).select("u", rest["v"])
-    alike = first.unionByName(_alike(docs, nodes, rest, words, similarity))
+    so_far = roots_of(first.unionByName(_alike(docs, nodes, rest, words, similarity)))
+    # the others of a bucket with each other, by lists of those already in one component, whose pairs are left out
+    lists = buckets.where("node != v").join(so_far, "node").groupBy("key", "root").agg(F.collect_list("node").alias("all"))
+    several = lists.groupBy("key").agg(F.count("*").alias("roots")).where("roots > 1").select("key")
+    lists = settle(lists.join(several, "key", "left_semi"))
+    facing = lists.select("key", F.col("root").alias("root_v"), F.col("all").alias("all_v"))
+    pairs = lists.join(facing, "key").where("root < root_v").select(F.explode("all").alias("u"), "all_v")
+    pairs = pairs.select("u", F.explode(F.filter("all_v", lambda v: alike_in_size(F.col("u"), v))).alias("v"))
+    pairs = pairs.select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")).distinct()
+    alike = so_far.select(F.col("node").alias("u"), F.col("root").alias("v")).unionByName(_alike(docs, nodes, pairs, words, similarity))
     named = nodes.select("node", "least").join(components(alike), "node", "left").select("node", "least", F.coalesce("root", "node").alias("root"))
     ids = named.groupBy("root").agg(F.min("least").alias("class_id"))
     return found.select("doc_id", "text_hash", "node").join(named.join(ids, "root").select("node", "class_id"), "node").select("doc_id", "text_hash", "class_id")

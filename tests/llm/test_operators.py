@@ -458,6 +458,20 @@ def test_near_copies_of_0_8_are_found(spark, docs, empty):
     assert simhash.keep_one(empty).count() == 0
 
 
+def test_near_copies_are_found_among_many_half_alike_texts(spark):
+    """Least nodes of the buckets are mostly of the template's other texts."""
+    word = lambda k, n: [f"w{k}x{i}" for i in range(n)]
+    template, rows = word(0, 168), []
+    for k in range(400):
+        own = word(k + 1, 36)
+        rows.append((2 * k, " ".join(template + own)))
+        if k < 60:
+            rows.append((2 * k + 1, " ".join(template + own[:20] + word(1000 + k, 16))))
+    classes = {r.doc_id: r.class_id for r in simhash.near_copies(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert sum(classes[2 * k + 1] == 2 * k for k in range(60)) >= 58
+    assert len(set(classes.values())) >= 400
+
+
 # --- 10 --------------------------------------------------------------------------------------------
 
 
