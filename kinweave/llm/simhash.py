@@ -147,24 +147,27 @@ SKETCH_WORDS, TABLE_BITS, TABLE_RADIUS = 12, 48, 3
 END_BITS, ENDS = BITS - TABLE_BITS, TABLE_BITS // (BITS - TABLE_BITS)
 #: Estimates this close to the similarity asked for are settled by the sets themselves (over five standard errors).
 DOUBT = 0.1
+#: Sets of fewer shingles than this are met by their rare shingles and compared exactly, as few shingles make poor sketches.
+SHORT = 64
 #: Low bits of a node's number that hold the logarithm of its set's size, and that logarithm's steps a unit.
 SIZE_BITS, SIZE_STEPS = 10, 64
 
 
-def sketches(docs: DataFrame, words: int) -> DataFrame:
-    """(doc_id, text_hash, w, n): SKETCH_WORDS words of SimHash of the set of word shingles, and the set's size."""
+def sketches(docs: DataFrame, words: int, most: int = 0) -> DataFrame:
+    """(doc_id, text_hash, w, n, h): SKETCH_WORDS words of SimHash of the set of word shingles, the set's size, and the set itself if it has up to ``most``."""
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
-            w, n = [], []
+            w, n, own = [], [], []
             for text in frame["text"]:
                 h = np.unique(_shingles(text, words))
                 w.append([_signed(x) for x in _majority(_mixed(h, SKETCH_WORDS))])
                 n.append(len(h))
-            yield pd.DataFrame({"doc_id": frame["doc_id"].astype("Int64"), "text_hash": frame["text_hash"], "w": w, "n": n})
+                own.append(h.view(np.int64) if len(h) <= most else None)
+            yield pd.DataFrame({"doc_id": frame["doc_id"].astype("Int64"), "text_hash": frame["text_hash"], "w": w, "n": n, "h": own})
 
     return texts_for_python(docs).withColumn("text_hash", F.xxhash64("text")).mapInPandas(
-        run, "doc_id long, text_hash long, w array<long>, n long"
+        run, "doc_id long, text_hash long, w array<long>, n long, h array<long>"
     )
 
 
@@ -192,6 +195,16 @@ def shingle_sets(docs: DataFrame, wanted: DataFrame, words: int) -> DataFrame:
     return texts.dropDuplicates(["text_hash"]).mapInPandas(run, "text_hash long, h array<long>")
 
 
+def _rare_keys(sets: DataFrame, similarity: float) -> DataFrame:
+    """(node, key): the rarest shingles of each set (node, n, h), as many as must hold one in common with any set that reaches ``similarity``."""
+    each = sets.select("node", "n", F.explode("h").alias("x"))
+    of = each.groupBy("x").agg(F.count("*").alias("df"))
+    ordered = each.join(of, "x").groupBy("node", "n").agg(F.sort_array(F.collect_list(F.struct("df", "x"))).alias("all"))
+    taken = F.col("n") - F.ceil(similarity * F.col("n") - 1e-9) + 1
+    keys = F.transform(F.slice("all", F.lit(1), taken.cast("int")), lambda e: F.xxhash64(F.lit(-1), e["x"]))
+    return ordered.select("node", F.explode(keys).alias("key"))
+
+
 def likeness(w: Column, n: Column, other_w: Column, other_n: Column) -> Column:
     """Estimated Jaccard similarity of two shingle sets from their sketches and sizes."""
     apart = F.aggregate(F.zip_with(w, other_w, lambda a, b: F.bit_count(a.bitwiseXOR(b))), F.lit(0), lambda s, d: s + d)
@@ -200,9 +213,10 @@ def likeness(w: Column, n: Column, other_w: Column, other_n: Column) -> Column:
 
 
 def _alike(docs: DataFrame, nodes: DataFrame, pairs: DataFrame, words: int, similarity: float) -> DataFrame:
-    """The pairs (u, v) whose sets of shingles reach ``similarity``: by estimate, or exactly where that is in doubt."""
+    """The pairs (u, v) whose sets of shingles reach ``similarity``: by estimate, or exactly where that is in doubt or a set is short."""
     of = lambda name: nodes.select(F.col("node").alias(name), *[F.col(c).alias(f"{c}_{name}") for c in ("w", "n", "text_hash")])
     guess = likeness(F.col("w_u"), F.col("n_u"), F.col("w_v"), F.col("n_v"))
+    guess = F.when(F.least("n_u", "n_v") >= SHORT, guess).otherwise(similarity)  # of short sets, always in doubt
     both = pairs.join(of("u"), "u").join(of("v"), "v").select("u", "v", "text_hash_u", "text_hash_v", guess.alias("guess"))
     guessed = settle(both.where(F.col("guess") >= similarity - DOUBT))
     open_pairs = guessed.where(F.col("guess") < similarity + DOUBT)
@@ -226,23 +240,27 @@ def near_copies(docs: DataFrame, words: int = 5, similarity: float = 0.8) -> Dat
     compared with each other unless they are in one component by then. So the comparisons grow with
     the rows for groups of near copies, but with the pairs for members of one bucket that are not
     alike. Buckets are never cut; sets whose sizes alone rule out ``similarity`` are not compared.
-    The member met in most tables comes first. Estimates within DOUBT of ``similarity`` are settled by the
+    The member met in most tables comes first. Sets under SHORT shingles have no tables: they and the sets
+    that can be like them meet in the buckets of their rarest shingles, where none is missed, and their
+    pairs are always settled exactly. Other estimates within DOUBT of ``similarity`` are settled by the
     exact likeness of the two sets. Groups are the components of the pairs that reach
     ``similarity``. Texts without words are one group. Repeated rows stay; null ids are in no
     minimum; an empty table gives no rows.
     """
     low = (1 << SIZE_BITS) - 1
     of_size = F.least(F.lit(low), F.floor(F.ln(F.col("n") + 1) * SIZE_STEPS))
-    found = settle(sketches(docs, words).withColumn("node", F.xxhash64("w", "n").bitwiseAND(F.lit(~low)).bitwiseOR(of_size)))
+    most = math.floor((SHORT - 1) / similarity + 1e-9)  # shingles of a set that a short one can be like
+    found = settle(sketches(docs, words, most).withColumn("node", F.xxhash64("w", "n").bitwiseAND(F.lit(~low)).bitwiseOR(of_size)))
     nodes = settle(
-        found.groupBy("node").agg(F.first("w").alias("w"), F.first("n").alias("n"), F.min("text_hash").alias("text_hash"), F.min("doc_id").alias("least"))
+        found.groupBy("node").agg(F.first("w").alias("w"), F.first("n").alias("n"), F.min("text_hash").alias("text_hash"), F.first("h").alias("h"), F.min("doc_id").alias("least"))
     )
     masks = covering_masks(TABLE_RADIUS, TABLE_BITS)
     held = F.split(F.lit(",".join(map(str, masks))), ",").cast("array<bigint>")
     tables = len(masks) * (SKETCH_WORDS + SKETCH_WORDS // ENDS)
     of_word = lambda k: F.get(F.col("t"), F.floor(k / len(masks)).cast("int")).bitwiseAND(F.get(held, k % len(masks)))
     keys = F.transform(F.sequence(F.lit(0), F.lit(tables - 1)), lambda k: F.xxhash64(k, of_word(k)))
-    keyed = nodes.select("node", _table_words(F.col("w")).alias("t")).select("node", F.explode(keys).alias("key")).repartition("key")
+    keyed = nodes.where(F.col("n") >= SHORT).select("node", _table_words(F.col("w")).alias("t")).select("node", F.explode(keys).alias("key"))
+    keyed = keyed.unionByName(_rare_keys(nodes.where("h is not null"), similarity)).repartition("key")
     shared = keyed.groupBy("key").agg(F.min("node").alias("v"), F.max("node").alias("top")).where("v < top").select("key", "v")
     buckets = settle(keyed.join(shared, "key").select("key", "node", "v"))
     size_of = lambda c: c.bitwiseAND(F.lit(low))

@@ -2,6 +2,7 @@
 
 import hashlib
 import itertools
+import math
 import re
 import zlib
 from collections import Counter, defaultdict
@@ -472,6 +473,24 @@ def test_near_copies_are_found_among_many_half_alike_texts(spark):
     assert len(set(classes.values())) >= 400
 
 
+def test_near_copies_of_short_texts_are_all_found(spark):
+    rows, near, apart = [], [], []
+    for k in range(100):
+        long = 8 + k % 70  # J of a text and itself less a fifth of its shingles, and then less one more
+        own = [f"w{k}x{i}" for i in range(long)]
+        n = long - 4
+        kept = math.ceil(0.8 * n - 1e-9)
+        rows += [(3 * k, " ".join(own)), (3 * k + 1, " ".join(own[: kept + 4]))]
+        near.append(k)
+        if kept > 1 and k % 2:
+            rows[-1] = (3 * k + 1, " ".join(own[: kept + 3]))
+            near.pop()
+            apart.append(k)
+    classes = {r.doc_id: r.class_id for r in simhash.near_copies(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert all(classes[3 * k + 1] == 3 * k for k in near)
+    assert all(classes[3 * k + 1] == 3 * k + 1 for k in apart)
+
+
 # --- 10 --------------------------------------------------------------------------------------------
 
 
