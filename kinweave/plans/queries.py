@@ -15,9 +15,12 @@ from kinweave.sources import entities as src
 
 #: Caps that bite on the small test tables.
 CONFIG = Config(blocking.Caps(t=50, a=100, sn=100, fn=1000, c3=200), max_candidates=200, topk=50, proxy="mean")
+#: The operators' own caps, for the queries named ..._whole and for those that no SQL is held against.
+WHOLE = Config(topk=50, proxy="mean")
 CUTOFFS = [5, 10, 20, 50]
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
+_PLANS: dict[str, Callable] = {}
 
 _SFX = "|".join(tn.SUFFIXES)
 _CAP = "CASE family " + " ".join(f"WHEN '{f}' THEN {getattr(CONFIG.caps, f)}" for f in blocking.WEIGHTS) + " END"
@@ -177,11 +180,16 @@ results AS (
 """
 
 
+def _under(f: Callable, config: Config) -> Callable[[SparkSession, str], DataFrame]:
+    return lambda spark, sf_dir: f(Linkage.from_documents(spark, sf_dir, config), spark, sf_dir)
+
+
 def query(sql: str | None = None) -> Callable:
     """Register a function of (linkage, spark, sf_dir) under its name, with the last step of its oracle."""
 
     def register(f: Callable) -> Callable:
-        QUERIES[f.__name__] = lambda spark, sf_dir: f(Linkage.from_documents(spark, sf_dir, CONFIG), spark, sf_dir)
+        _PLANS[f.__name__] = f
+        QUERIES[f.__name__] = _under(f, WHOLE if sql is None else CONFIG)
         if sql is not None:
             ORACLE_SQL[f.__name__] = _STEPS + sql
         return f
@@ -561,3 +569,13 @@ def gbt_scored_pairs(run, spark, sf_dir):
     sampled = labels.sample_negatives(run.labelled, labels.sample_ids(run.s1, 0.18), 1.0).persist()
     fitted = model.fit(sampled.where("is_val = 0").drop("is_val"), rounds=5)
     return model.predict(fitted, sampled.where("is_val = 1").drop("is_val")).select("s1_id", "cand_id", "is_match", "proba")
+
+
+#: Queries whose result depends on the key caps or the number of candidates. Their SQL holds CONFIG's values, so each has a second form under WHOLE.
+CAPPED = [
+    "allowed_keys", "candidate_union_plain", "candidate_evidence", "candidate_prefilter", "pair_cosine", "proxy_topk_mean", "proxy_topk_max",
+    "features_full", "features_name", "features_address", "labelled_pairs", "negative_sample", "class_weight", "rule_scored_matches",
+    "entity_f05", "macro_f05", "bucket_f05", "threshold_sweep", "cutoff_threshold_sweep", "operating_point", "blocking_recall", "recall_at_k",
+    "feature_medians", "adversarial_gate", "normalization_gain", "matching_results", "candidate_pairs", "validate_results", "subset_violations", "set_fingerprint",
+]
+QUERIES |= {f"{name}_whole": _under(_PLANS[name], WHOLE) for name in CAPPED}

@@ -233,6 +233,18 @@ def test_stream_of_new_records(spark, tmp_path):
     assert len(got) == want > 0
 
 
+def test_whole_queries_keep_pairs_beyond_the_caps(spark, tmp_path):
+    from kinweave.plans.queries import QUERIES
+
+    rows = [(i, " ".join([f"a{i}", "common", *[f"{c}{i}" for c in "bcdefghijkl"]]), "en", "src", 1000 + i) for i in range(100)]
+    spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long").write.parquet(str(tmp_path / "documents.parquet"))
+    wanted = {(f"S1-{i}", "S2-" + str(j) if j % 5 < 3 else f"S3-{j}") for i in range(0, 100, 5) for j in range(100) if j % 5}
+    whole = QUERIES["candidate_evidence_whole"](spark, str(tmp_path)).collect()
+    assert {(r.s1_id, r.cand_id) for r in whole} == wanted
+    assert QUERIES["candidate_evidence"](spark, str(tmp_path)).count() < len(wanted)
+    assert QUERIES["allowed_keys_whole"](spark, str(tmp_path)).where("value = 'common'").first().df == 80
+
+
 def test_entry_points(spark, sf):
     import __spark_entry__ as entry
 
