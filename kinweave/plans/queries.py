@@ -328,6 +328,13 @@ def levenshtein_features(run, spark, sf_dir):
     return rows.select("s1_id", "cand_id", *_six("lev_name_raw", "lev_name_norm", "lev_name_strip", "lev_addr", "lev_proxy"))
 
 
+@query()
+def levenshtein_features_whole(run, spark, sf_dir):
+    """All ranked pairs, accents or not; distances count characters, so no SQL is held against them."""
+    rows = features.edit_features(run.ranked)
+    return rows.select("s1_id", "cand_id", *_six("lev_name_raw", "lev_name_norm", "lev_name_strip", "lev_addr", "lev_proxy"))
+
+
 @query("SELECT s1_id, cand_id FROM truth")
 def truth_pairs(run, spark, sf_dir):
     lists = src.result_lists(run.s1, run.truth.withColumn("cand_rank", F.lit(0)), "matched_entity_ids")

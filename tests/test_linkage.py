@@ -245,6 +245,29 @@ def test_whole_queries_keep_pairs_beyond_the_caps(spark, tmp_path):
     assert QUERIES["allowed_keys_whole"](spark, str(tmp_path)).where("value = 'common'").first().df == 80
 
 
+def test_edit_features_of_all_ranked_pairs_with_accents(spark, tmp_path):
+    from kinweave.plans.queries import QUERIES
+
+    def distance(a, b):
+        row = list(range(len(b) + 1))
+        for i, x in enumerate(a, 1):
+            last, row[0] = row[0], i
+            for j, y in enumerate(b, 1):
+                last, row[j] = row[j], min(row[j] + 1, row[j - 1] + 1, last + (x != y))
+        return row[-1]
+
+    names = ["café zürich größe naïve señor", "cafe zurich große naive senor", "café münchen straße über élan", "plain cafe without any accent"]
+    rows = [(i, f"{names[i % 4]} street number park lane {i}", "de", "src", 100) for i in range(40)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    docs.write.parquet(str(tmp_path / "documents.parquet"))
+    name = {r.entity_id: r.business_name for r in src.entity_view(docs).collect()}
+    got = QUERIES["levenshtein_features_whole"](spark, str(tmp_path)).collect()
+    assert {(r.s1_id, r.cand_id) for r in got} == {(a, b) for a in name for b in name if a[:2] == "S1" and b[:2] != "S1"}
+    for r in got:
+        a, b = name[r.s1_id], name[r.cand_id]
+        assert r.lev_name_raw == pytest.approx(1 - distance(a, b) / max(len(a), len(b)), abs=1e-6)
+
+
 def test_entry_points(spark, sf):
     import __spark_entry__ as entry
 
