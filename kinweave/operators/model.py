@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import tempfile
+
 from pyspark.ml import PipelineModel
 from pyspark.ml.classification import GBTClassifier
 from pyspark.ml.feature import VectorAssembler
@@ -17,6 +19,8 @@ from kinweave.operators.features import FEATURES
 RULE = {"threshold": 0.75, "topk": 500, "proxy": "max"}
 #: Stands for a missing feature; an indicator column goes with it.
 MISSING = -1.0
+#: The reference's ceiling of boosting rounds.
+ROUNDS = 2000
 
 
 def rule_score() -> Column:
@@ -35,11 +39,15 @@ def filled(pairs: DataFrame) -> DataFrame:
     return out
 
 
-def fit(labelled: DataFrame, rounds: int = 20, depth: int = 5, rate: float = 0.08, seed: int = 42) -> PipelineModel:
+def fit(labelled: DataFrame, rounds: int = 20, depth: int = 5, rate: float = 0.08, seed: int = 42, tolerance: float = 0.01) -> PipelineModel:
     """Boosted trees on labelled pairs, positives weighted by negatives / positives.
 
-    A tenth of the S1 entities, by a hash, decides when to stop.
+    A tenth of the S1 entities, by a hash, decides when to stop: at the first round that does not lower
+    their loss by the share ``tolerance``, after ``rounds`` at most. Spark has no patience of further rounds.
     """
+    sc = labelled.sparkSession.sparkContext
+    if sc.getCheckpointDir() is None:  # else the lineage grows with the rounds
+        sc.setCheckpointDir(labelled.sparkSession.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="kinweave-"))
     counts = labelled.agg(F.sum("is_match").alias("p"), F.count("*").alias("n")).first()
     weight = (counts["n"] - counts["p"]) / counts["p"] if counts["p"] else 1.0
     rows = filled(labelled).withColumns(
@@ -55,6 +63,7 @@ def fit(labelled: DataFrame, rounds: int = 20, depth: int = 5, rate: float = 0.0
         featuresCol="features",
         weightCol="weight",
         validationIndicatorCol="stops",
+        validationTol=tolerance,
         maxIter=rounds,
         maxDepth=depth,
         stepSize=rate,

@@ -188,6 +188,17 @@ def test_trees_train_save_and_carry_their_settings(spark, tmp_path):
     assert [c for c in features.FEATURES if c not in scored.columns] == []
 
 
+def test_validation_ends_the_training_of_trees(spark):
+    rng = random.Random(5)
+    rows = []
+    for i in range(1000):
+        x = [rng.random() for _ in features.FEATURES]
+        rows.append((f"S1-{i}", f"S2-{i}", int(x[0] + x[1] * x[2] + 0.4 * rng.random() > 0.95), *x))
+    frame = spark.createDataFrame(rows, ["s1_id", "cand_id", "is_match", *features.FEATURES]).persist()
+    trees = model.fit(frame, rounds=model.ROUNDS, depth=3, tolerance=0.0).stages[-1].getNumTrees
+    assert 20 < trees < model.ROUNDS
+
+
 def test_stage_state(tmp_path):
     calls = []
 
