@@ -5,9 +5,13 @@ from __future__ import annotations
 import math
 import tempfile
 import uuid
+from collections.abc import Callable, Iterator, Sequence
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import StructType
 
 ROWS_PER_RANGE = 512
 MAX_RANGES = 16384
@@ -18,10 +22,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def _shared_dir(spark: SparkSession) -> str:
-    """The session's ``spark.checkpoint.dir``; a local folder only where that is unset, as in tests."""
+    """The session's ``spark.checkpoint.dir``; a local folder only where that is unset and all runs in one process, as in tests."""
     sc = spark.sparkContext
     if sc.getCheckpointDir() is None:
-        sc.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="kinweave-"))
+        shared = spark.conf.get("spark.checkpoint.dir", None)
+        if not shared and not sc.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+        sc.setCheckpointDir(shared or tempfile.mkdtemp(prefix="kinweave-"))
     return sc.getCheckpointDir()
 
 
@@ -31,6 +38,15 @@ def settle(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+#: Rows of a table that is sent to all executors; a longer one is joined by a shuffle.
+BROADCAST_ROWS = 100_000
+
+
+def broadcast_if_small(df: DataFrame) -> DataFrame:
+    """A settled table of few short columns, marked for broadcast if it has BROADCAST_ROWS or fewer."""
+    return F.broadcast(df) if df.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS else df
+
+
 def shared_path(spark: SparkSession, name: str) -> str:
     """A new path in the folder all executors share, for a table that later steps read."""
     return f"{_shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
@@ -69,11 +85,43 @@ def range_of(key: Column, splits: list[int]) -> Column:
 BATCH_ROWS, BATCH_BYTES = 1000, 16 << 20
 
 
+def small_batches(spark: SparkSession) -> None:
+    """Keep the batches that Python workers receive small."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
+
+
+def over_texts(docs: DataFrame, of: Callable[[], Callable[[list[str]], Sequence]], schema: str, carried: Sequence[str] = ("doc_id",)) -> DataFrame:
+    """Apply a function to whole texts (null: empty) in batches: one row a text, or several.
+
+    ``of`` is called once a task and gives the function, which takes a list of texts and returns the columns
+    of ``schema`` that follow the ``carried`` ones; after them it may return the number of the text that each
+    row is of, if texts have other than one row each. Carried columns (the id as a long) never leave Arrow, so
+    large numbers stay whole beside nulls.
+    """
+    whole = StructType.fromDDL(", ".join([*[f"{c} long" for c in carried], schema]))
+    wanted = to_arrow_schema(whole)
+    own = len(wanted) - len(carried)
+    small_batches(docs.sparkSession)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        apply = of()
+        for batch in batches:
+            made = apply(batch.column(len(carried)).to_pylist())
+            kept = [batch.column(k) for k in range(len(carried))]
+            if len(made) > own:
+                row = pa.array(made[own], pa.int64())
+                kept = [c.take(row) for c in kept]
+            rest = [m if isinstance(m, pa.Array) else pa.array(m, t) for m, t in zip(made, wanted.types[len(carried) :], strict=False)]
+            yield pa.RecordBatch.from_arrays([*kept, *rest], schema=wanted)
+
+    fed = docs.select(*[F.col(c).cast("long").alias(c) for c in carried], text_or_empty().alias("text"))
+    return fed.mapInArrow(run, whole)
+
+
 def texts_for_python(docs: DataFrame) -> DataFrame:
     """doc_id (long) and text (null: empty) for a function over batches, which are kept small."""
-    conf = docs.sparkSession.conf
-    conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
-    conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
+    small_batches(docs.sparkSession)
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_or_empty().alias("text"))
 
 

@@ -115,7 +115,9 @@ busl-1.1 | 0.97 | business source license | business source license(?: 1\.1)?
 elastic-2.0 | 0.95 | elastic license | elastic license(?: 2\.0)?
 commons-clause | 0.95 | commons clause | commons clause(?: license condition)?
 polyform | 0.93 | polyform | polyform (?:noncommercial|small business|shield|strict|perimeter) license
-rail | 0.93 | responsible ai license | (?:open)?rail(?:-m)?|responsible ai licen[sc]e
+rail | 0.93 | responsible ai licen | responsible ai licen[sc]e
+rail | 0.93 | openrail | \bopenrail(?:-m)?\b
+rail | 0.9 | rail-m | \brail-m\b
 hippocratic | 0.93 | hippocratic license | hippocratic license
 mulan-psl-2.0 | 0.95 | mulan | mulan (?:psl|permissive software license).{0,6}?2
 mulan-psl-1.0 | 0.93 | mulan | mulan (?:psl|permissive software license).{0,6}?1

@@ -3,20 +3,23 @@
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+from bisect import bisect_right
+from collections.abc import Callable
 from dataclasses import dataclass
 
 import ahocorasick
-import pandas as pd
 from pyspark.sql import DataFrame
 
-from kinweave.llm.common import texts_for_python
+from kinweave.llm.common import over_texts
 from kinweave.llm.license_rules import ADDRESSES, NOTICES, SPDX, TITLES
 
 #: Phrases whose places are always counted, and their labels (fixed values).
 BASE = {"cc by": "cc-by", "general public license": "gpl", "all rights reserved": "reserved"}
 #: Trust in a document with a base phrase.
 BASE_WEIGHT = 0.6
+#: Runs of white space that rules see as one blank.
+_GAPS = re.compile(r"[ \t\n\r\f\v]{2,}|[\t\n\r\f\v]")
+_LOWER = {c: c + 32 for c in range(65, 91)}
 _OTHER = bytes(i for i in range(128) if not (chr(i).isalnum()))
 #: Lowers A-Z and turns what parts words into blanks.
 _WORDS = bytes.maketrans(_OTHER + bytes(range(65, 91)), b" " * len(_OTHER) + bytes(range(97, 123)))
@@ -76,6 +79,21 @@ class Scanner:
                 spans = _outer(spans + fresh)
         return sorted(kept, key=lambda d: (d[0], d[1], d[2].label))
 
+    def scan(self, text: str) -> list[tuple[int, int, Rule]]:
+        """Detections in a text of any case and any breaks of lines, by its own code points."""
+        lowered = text.lower() if text.isascii() else text.translate(_LOWER)
+        plain = _GAPS.sub(" ", lowered)
+        found = self.detections(plain)
+        if not found or len(plain) == len(text):
+            return found
+        ends, lost = [0], [0]  # from here on, a place in the plain text is so many code points further in the whole one
+        for m in _GAPS.finditer(lowered):
+            if m.end() - m.start() > 1:
+                ends.append(m.start() - lost[-1] + 1)
+                lost.append(lost[-1] + m.end() - m.start() - 1)
+        at = lambda place: place + lost[bisect_right(ends, place) - 1]
+        return [(at(a), at(b - 1) + 1, rule) for a, b, rule in found]
+
 
 def _outer(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
     """The intervals that lie within no other; then both ends ascend."""
@@ -119,43 +137,33 @@ def scan(docs: DataFrame) -> DataFrame:
     phrase, in words from 0; else null), base_labels, labels (base and rules; both distinct, sorted,
     comma-joined), score (0 to 1: the chance that some detection holds, taking them as independent),
     spans (rule detections as label:start:end in code points, comma-joined). A null or empty
-    text has no words, labels or spans and score 0. Repeated rows stay; an empty table gives no rows.
+    text has no words, labels or spans and score 0. Rules see runs of white space as one blank, so line
+    breaks don't hide a notice. Only doc_id and text are read, whatever other columns there are. Repeated
+    rows stay; an empty table gives no rows.
     """
 
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def scanned() -> Callable[[list[str]], list]:
         scanner = Scanner()
-        lower = {c: c + 32 for c in range(65, 91)}
-        for frame in frames:
+
+        def of(texts: list[str]) -> list:
             rows = []
-            for text in frame["text"]:
+            for text in texts:
                 n, places = base_places(text)
                 starts = [p for own in places.values() for p in own]
                 base = sorted({BASE[p] for p in places})
-                found = scanner.detections(text.lower() if text.isascii() else text.translate(lower))
+                found = scanner.scan(text)
                 weights = {label: BASE_WEIGHT for label in base}
                 for _, _, rule in found:
                     weights[rule.label] = max(weights.get(rule.label, 0.0), rule.weight)
                 miss = 1.0
                 for label in sorted(weights):
                     miss *= 1.0 - weights[label]
-                rows.append(
-                    (
-                        n,
-                        len(starts),
-                        min(starts, default=None),
-                        max(starts, default=None),
-                        ",".join(base),
-                        ",".join(sorted(weights)),
-                        1.0 - miss,
-                        ",".join(f"{r.label}:{a}:{b}" for a, b, r in found),
-                    )
-                )
-            out = pd.DataFrame(rows, columns=["n_words", "n_base", "first_word", "last_word", "base_labels", "labels", "score", "spans"])
-            out = out.astype({"first_word": "Int64", "last_word": "Int64"})
-            out.insert(0, "doc_id", frame["doc_id"].astype("Int64").to_numpy())
-            yield out.astype({"doc_id": "Int64"})
-
-    return texts_for_python(docs).mapInPandas(
-        run,
-        "doc_id long, n_words long, n_base long, first_word long, last_word long, base_labels string, labels string, score double, spans string",
+                spans = ",".join(f"{r.label}:{a}:{b}" for a, b, r in found)
+                rows.append((n, len(starts), min(starts, default=None), max(starts, default=None), ",".join(base), ",".join(sorted(weights)), 1.0 - miss, spans))
+            return list(map(list, zip(*rows, strict=True))) or [[]] * 8
+
+        return of
+
+    return over_texts(
+        docs, scanned, "n_words long, n_base long, first_word long, last_word long, base_labels string, labels string, score double, spans string"
     )

@@ -7,18 +7,17 @@ import json
 import os
 import re
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from functools import lru_cache
 from itertools import chain
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
 import regex
 from pyspark.sql import DataFrame
 
-from kinweave.llm.common import texts_for_python
+from kinweave.llm.common import over_texts
 
 #: Pieces of text before the merges, as byte-level BPE files of this kind cut them (fixed value).
 BYTE_PIECES = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
@@ -240,10 +239,10 @@ def round_trip(docs: DataFrame, path: str | None = None) -> DataFrame:
     """
     path = path or default_path("byte_bpe_50k.json")
 
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def coded() -> Callable[[list[str]], list]:
         bpe = byte_bpe(path)
-        for frame in frames:
-            texts = frame["text"].tolist()
+
+        def of(texts: list[str]) -> list:
             counts, hashes, back = [], [], []
             for at in portions(texts):
                 ids, sizes = bpe.encode(texts[at])
@@ -253,11 +252,11 @@ def round_trip(docs: DataFrame, path: str | None = None) -> DataFrame:
                     hashes.append(hashlib.sha256(own.astype("<u4").tobytes()).hexdigest())
                     back.append(hashlib.sha256(bpe.decode(own).decode("utf-8", "replace").encode()).hexdigest())
                 counts += sizes.tolist()
-            yield pd.DataFrame({"doc_id": frame["doc_id"], "n_tokens": counts, "ids_sha256": hashes, "decoded_sha256": back})
+            return [counts, hashes, back]
+
+        return of
 
-    return texts_for_python(docs).mapInPandas(
-        run, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
-    )
+    return over_texts(docs, coded, "n_tokens long, ids_sha256 string, decoded_sha256 string")
 
 
 def _lowered(text: str) -> str:
@@ -319,19 +318,20 @@ def cut_pieces(docs: DataFrame, path: str | None = None, most: int = 4096, end_i
     """
     path = path or default_path("word_bpe_49k.json")
 
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def cut() -> Callable[[list[str]], list]:
         bpe = word_bpe(path)
         end = np.array([end_id], np.int32)
-        for frame in frames:
-            texts, keys, rows = frame["text"].tolist(), frame["doc_id"].tolist(), []
+
+        def of(texts: list[str]) -> list:
+            rows: list[tuple[int, ...]] = []
             for at in portions(texts):
-                for key, ids in zip(keys[at], bpe.encode(texts[at]), strict=True):
+                for row, ids in enumerate(bpe.encode(texts[at]), at.start):
                     ids = np.concatenate([ids, end]).astype("<u4")
                     for k, lo in enumerate(range(0, len(ids), most)):
                         own = ids[lo : lo + most]
-                        rows.append((key, k, lo, len(own), zlib.crc32(own.tobytes())))
-            yield pd.DataFrame(rows, columns=["doc_id", "piece", "start", "length", "ids_crc32"]).astype({"doc_id": "Int64"})
+                        rows.append((k, lo, len(own), zlib.crc32(own.tobytes()), row))
+            return list(map(list, zip(*rows, strict=True))) or [[]] * 5
+
+        return of
 
-    return texts_for_python(docs).mapInPandas(
-        run, "doc_id long, piece int, start long, length long, ids_crc32 long"
-    )
+    return over_texts(docs, cut, "piece int, start long, length long, ids_crc32 long")
