@@ -4,9 +4,10 @@ from __future__ import annotations
 
 import math
 from bisect import bisect_left, insort
+from itertools import combinations
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -14,9 +15,7 @@ from kinweave.llm.common import settle
 from kinweave.llm.tokens import cut_pieces
 
 #: Pieces packed together in one task, about; sequence numbers of one group lie below GROUP_SPAN.
-GROUP_PIECES, GROUP_SPAN = 20_000, 1 << 32
-#: Underfull bins that one round of the search takes from the emptiest on, and its rounds.
-SEARCH_BINS, SEARCH_ROUNDS = 48, 60
+GROUP_PIECES, GROUP_SPAN = 8_000, 1 << 32
 
 
 def best_fit(lengths: np.ndarray, room: int) -> list[list[int]]:
@@ -40,61 +39,93 @@ def best_fit(lengths: np.ndarray, room: int) -> list[list[int]]:
 
 
 def improve(bins: list[list[int]], lengths: np.ndarray, room: int) -> list[list[int]]:
-    """Local search over the underfull bins: squared fill grows with every step until bins empty.
+    """Local search over all underfull bins: squared fill grows with every step until bins empty.
 
-    Steps between a donor (the emptiest bins first) and a fuller bin: move a piece; exchange a piece
-    for a shorter one; exchange two pieces for one that is shorter than both together. Each
-    fills the fuller bin further, so the sum of squared fills rises and the search ends. It stops
-    when the number of bins reaches the least possible.
+    Donors go from the emptiest bin on. A step moves a piece to another bin, exchanges a piece for a shorter
+    one of another bin, or two pieces for one that is shorter than both together; of all steps to all other
+    underfull bins, the one that moves most is taken. A step counts only if it raises the sum of squared fills,
+    so the search ends: when no donor has a step, or when the number of bins is the least possible.
     """
     least = -(-int(lengths.sum()) // room)
-    fill = [int(lengths[b].sum()) for b in bins]
-    for _ in range(SEARCH_ROUNDS):
-        if sum(f > 0 for f in fill) <= least:
-            break
-        open_bins = sorted((b for b in range(len(bins)) if 0 < fill[b] < room), key=lambda b: fill[b])[:SEARCH_BINS]
+    held = [list(b) for b in bins]
+    search = _Search(held, lengths, room)
+    moved = True
+    while moved and np.count_nonzero(search.fill) > least:
         moved = False
-        for k, donor in enumerate(open_bins):
-            for taker in reversed(open_bins[k + 1 :]):
-                while fill[donor] and fill[taker] >= fill[donor] and (step := _step(bins[donor], bins[taker], lengths, room - fill[taker])):
-                    give, back = step
-                    gain = int(sum(lengths[i] for i in give) - sum(lengths[i] for i in back))
-                    bins[donor] = [i for i in bins[donor] if i not in give] + back
-                    bins[taker] = [i for i in bins[taker] if i not in back] + give
-                    fill[donor] -= gain
-                    fill[taker] += gain
-                    moved = True
-        if not moved:
-            break
-    return [b for b in bins if b]
-
-
-def _step(donor: list[int], taker: list[int], lengths: np.ndarray, left: int) -> tuple[list[int], list[int]] | None:
-    """The pieces to give and to take back that fill ``left`` most; None if nothing fits."""
-    if left <= 0:
-        return None
-    best, step = 0, None
-    give = sorted(donor, key=lambda i: -lengths[i])
-    for i in give:
-        n = int(lengths[i])
-        if best < n <= left:
-            best, step = n, ([i], [])
-    if best == left:
-        return step
-    back = sorted(taker, key=lambda i: lengths[i])
-    sizes = [int(lengths[j]) for j in back]
-    for i in give:  # one for one: the gain is n - m
-        n = int(lengths[i])
-        at = bisect_left(sizes, n - left)
-        if at < len(sizes) and best < n - sizes[at] <= left:
-            best, step = n - sizes[at], ([i], [back[at]])
-    for a in range(len(give)):  # two for one
-        for b in range(a + 1, len(give)):
-            n = int(lengths[give[a]] + lengths[give[b]])
-            at = bisect_left(sizes, n - left)
-            if at < len(sizes) and best < n - sizes[at] <= left:
-                best, step = n - sizes[at], ([give[a], give[b]], [back[at]])
-    return step
+        for donor in np.argsort(search.fill, kind="stable").tolist():
+            while 0 < search.fill[donor] < room and (step := search.step(donor)):
+                search.take(donor, *step)
+                moved = True
+    return [b for b in held if b]
+
+
+class _Search:
+    """Bins, their fills, and all pieces from short to long."""
+
+    def __init__(self, bins: list[list[int]], lengths: np.ndarray, room: int):
+        self.bins, self.lengths, self.room = bins, lengths, room
+        self.fill = np.array([int(lengths[b].sum()) for b in bins], np.int64)
+        self.bin_of = np.empty(len(lengths), np.int64)
+        for k, own in enumerate(bins):
+            self.bin_of[own] = k
+        self.sorted = np.argsort(lengths, kind="stable")
+
+    def step(self, donor: int) -> tuple[list[int], list[int], int] | None:
+        """The pieces to give, those to take back, and the bin, that move most; None without a step."""
+        fill, lengths = self.fill, self.lengths
+        takers = (fill > 0) & (fill < self.room)
+        takers[donor] = False
+        lead = fill[donor] - fill  # a step to a bin must move more than this to raise the squares
+        piece_of = {int(lengths[i]): i for i in self.bins[donor]}  # pieces of one length are alike
+        best, found = 0, None
+        free = np.where(takers, self.room - fill, -1)
+        for n, i in piece_of.items():
+            if n > best:
+                fits = np.flatnonzero((free >= n) & (lead < n))
+                if len(fits):
+                    best, found = n, ([i], [], int(fits[np.argmin(free[fits])]))
+        # in the order of length, the first piece whose place and its bin's room together take what is given
+        back = self.sorted[takers[self.bin_of[self.sorted]]]
+        sizes, owners = lengths[back], self.bin_of[back]
+        reach = sizes + free[owners]
+        most = np.maximum.accumulate(reach)
+        gives = {n: [i] for n, i in piece_of.items()}
+        for a, b in combinations(self.bins[donor] if len(piece_of) == len(self.bins[donor]) else self._twice(donor), 2):
+            gives.setdefault(int(lengths[a] + lengths[b]), [a, b])
+        amounts = np.fromiter(gives, np.int64, len(gives))
+        at = np.searchsorted(most, amounts)
+        gains = np.where(at < len(sizes), amounts - sizes[np.minimum(at, len(sizes) - 1)], 0) if len(sizes) else np.zeros(len(amounts), np.int64)
+        for k in np.argsort(-gains, kind="stable").tolist():
+            if gains[k] <= best:
+                break
+            n, j = int(amounts[k]), int(at[k])
+            if gains[k] <= lead[owners[j]]:  # that bin is too empty: the longest way that raises the squares
+                fits = np.flatnonzero((sizes < n) & (reach >= n) & (n - sizes > lead[owners]))
+                if not len(fits):
+                    continue
+                j = int(fits[0])
+            if n - sizes[j] > best:
+                best, found = n - int(sizes[j]), (gives[n], [int(back[j])], int(owners[j]))
+        return found
+
+    def _twice(self, donor: int) -> list[int]:
+        """The donor's pieces, at most two of each length."""
+        seen: dict[int, int] = {}
+        out = []
+        for i in self.bins[donor]:
+            n = int(self.lengths[i])
+            seen[n] = seen.get(n, 0) + 1
+            if seen[n] <= 2:
+                out.append(i)
+        return out
+
+    def take(self, donor: int, give: list[int], back: list[int], taker: int) -> None:
+        gain = int(self.lengths[give].sum() - self.lengths[back].sum()) if back else int(self.lengths[give].sum())
+        self.bins[donor][:] = [i for i in self.bins[donor] if i not in give] + back
+        self.bins[taker][:] = [i for i in self.bins[taker] if i not in back] + give
+        self.bin_of[give], self.bin_of[back] = taker, donor
+        self.fill[donor] -= gain
+        self.fill[taker] += gain
 
 
 def pack(pieces: DataFrame, room: int = 4096, group: int = GROUP_PIECES) -> DataFrame:
@@ -106,23 +137,22 @@ def pack(pieces: DataFrame, room: int = 4096, group: int = GROUP_PIECES) -> Data
     """
     pieces = settle(pieces)
     groups = max(1, math.ceil(pieces.count() / group))
-    columns = pieces.columns
     schema = pieces.schema.add("sequence_id", "long").add("offset", "long")
+    dealt = F.pmod(F.xxhash64("doc_id", "piece", F.monotonically_increasing_id()), F.lit(groups)).alias("_group")
 
-    def run(key: tuple, frame: pd.DataFrame) -> pd.DataFrame:
-        frame = frame.sort_values(["length", "doc_id", "piece"], ascending=[False, True, True], kind="stable").reset_index(drop=True)
-        lengths = frame["length"].to_numpy(np.int64)
+    def run(key: tuple, rows: pa.Table) -> pa.Table:
+        rows = rows.drop_columns(["_group"]).sort_by([("length", "descending"), ("doc_id", "ascending"), ("piece", "ascending")])
+        lengths = rows["length"].to_numpy().astype(np.int64)
         bins = improve(best_fit(lengths, room), lengths, room)
-        sequence, offset = np.zeros(len(frame), np.int64), np.zeros(len(frame), np.int64)
+        sequence, offset = np.zeros(len(lengths), np.int64), np.zeros(len(lengths), np.int64)
         for s, own in enumerate(bins):
             own = np.array(own)
             sequence[own] = s
             offset[own] = np.cumsum(lengths[own]) - lengths[own]
-        frame["sequence_id"], frame["offset"] = sequence + int(key[0]) * GROUP_SPAN, offset
-        return frame[[*columns, "sequence_id", "offset"]]
+        sequence += key[0].as_py() * GROUP_SPAN
+        return rows.append_column("sequence_id", pa.array(sequence)).append_column("offset", pa.array(offset))
 
-    dealt = F.pmod(F.xxhash64("doc_id", "piece", F.monotonically_increasing_id()), F.lit(groups)).alias("_group")
-    return pieces.select("*", dealt).groupBy("_group").applyInPandas(lambda k, f: run(k, f.drop(columns="_group")), schema)
+    return pieces.select("*", dealt).groupBy("_group").applyInArrow(run, schema)
 
 
 def pack_documents(docs: DataFrame, path: str | None = None, room: int = 4096) -> DataFrame:
