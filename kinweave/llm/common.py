@@ -119,12 +119,6 @@ def over_texts(docs: DataFrame, of: Callable[[], Callable[[list[str]], Sequence]
     return fed.mapInArrow(run, whole)
 
 
-def texts_for_python(docs: DataFrame) -> DataFrame:
-    """doc_id (long) and text (null: empty) for a function over batches, which are kept small."""
-    small_batches(docs.sparkSession)
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_or_empty().alias("text"))
-
-
 def text_or_empty(col: str = "text") -> Column:
     return F.coalesce(F.col(col).cast("string"), F.lit(""))
 

@@ -3,15 +3,15 @@
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from kinweave.llm.common import settle, text_or_empty, texts_for_python
+from kinweave.llm import setjoin
+from kinweave.llm.common import broadcast_if_small, over_texts, settle, text_or_empty
 from kinweave.llm.components import components
 
 BITS = 64
@@ -64,13 +64,7 @@ def _mixed(h: np.ndarray, columns: int) -> np.ndarray:
 
 def fingerprints(docs: DataFrame, words: int = 3) -> DataFrame:
     """(doc_id, f) of every whole text, f being the fingerprint as a signed long; null text: empty."""
-
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for frame in frames:
-            own = np.array([fingerprint(t, words) for t in frame["text"]], np.uint64)
-            yield pd.DataFrame({"doc_id": frame["doc_id"].astype("Int64"), "f": own.view(np.int64)})
-
-    return texts_for_python(docs).mapInPandas(run, "doc_id long, f long")
+    return over_texts(docs, lambda: lambda texts: [np.array([fingerprint(t, words) for t in texts], np.uint64).view(np.int64)], "f long")
 
 
 def covering_masks(radius: int, bits: int = BITS) -> list[int]:
@@ -141,153 +135,137 @@ def hex16(f: Column) -> Column:
     return F.lower(F.lpad(F.hex(f), 16, "0"))
 
 
-#: 64-bit words of a sketch, bits that the covering tables of one table word see, and the tables' radius.
-SKETCH_WORDS, TABLE_BITS, TABLE_RADIUS = 12, 48, 3
-#: Bits of a sketch word above those that its own table word takes; three such ends make one table word more.
-END_BITS, ENDS = BITS - TABLE_BITS, TABLE_BITS // (BITS - TABLE_BITS)
-#: Estimates this close to the similarity asked for are settled by the sets themselves (over five standard errors).
+#: 64-bit words of a sketch of a set, and the radius of the covering tables of each word.
+SKETCH_WORDS, TABLE_RADIUS = 12, 3
+#: Pairs that meet in a table are compared if the estimate of their likeness is at most this much under the one asked for.
 DOUBT = 0.1
-#: Sets of fewer shingles than this are met by their rare shingles and compared exactly, as few shingles make poor sketches.
-SHORT = 64
-#: Low bits of a node's number that hold the logarithm of its set's size, and that logarithm's steps a unit.
-SIZE_BITS, SIZE_STEPS = 10, 64
-
-
-def sketches(docs: DataFrame, words: int, most: int = 0) -> DataFrame:
-    """(doc_id, text_hash, w, n, h): SKETCH_WORDS words of SimHash of the set of word shingles, the set's size, and the set itself if it has up to ``most``."""
-
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for frame in frames:
-            w, n, own = [], [], []
-            for text in frame["text"]:
-                h = np.unique(_shingles(text, words))
-                w.append([_signed(x) for x in _majority(_mixed(h, SKETCH_WORDS))])
-                n.append(len(h))
-                own.append(h.view(np.int64) if len(h) <= most else None)
-            yield pd.DataFrame({"doc_id": frame["doc_id"].astype("Int64"), "text_hash": frame["text_hash"], "w": w, "n": n, "h": own})
-
-    return texts_for_python(docs).withColumn("text_hash", F.xxhash64("text")).mapInPandas(
-        run, "doc_id long, text_hash long, w array<long>, n long, h array<long>"
-    )
+#: Odd multiplier that mixes the hashes of a shingle's words, and the id that stands for null in a join.
+MIX, NO_ID = 0x9E3779B97F4A7C15, -(1 << 63)
+
+
+def _set_of(text: str, words: int) -> np.ndarray:
+    """The text's set of word shingles as sorted distinct 64-bit hashes.
+
+    Words are split at ASCII white space after A-Z are lowered; a shorter text is one shingle, a text without
+    words has none. A shingle's hash is a polynomial in the XXH64 of its words, finished by SplitMix64.
+    """
+    own = text.encode("utf-8", "replace").lower().split()
+    if not own:
+        return np.empty(0, np.uint64)
+    hash_of = xxhash.xxh64_intdigest
+    w = np.fromiter(map(hash_of, own), np.uint64, len(own))
+    k = min(words, len(w))
+    n = len(w) - k + 1
+    with np.errstate(over="ignore"):
+        z = w[:n].copy()
+        for i in range(1, k):
+            z = z * np.uint64(MIX) + w[i : i + n]
+    return np.unique(_mixed(z, 1)[:, 0])
 
 
-def _table_words(w: Column) -> Column:
-    """The sketch's bits as words for the covering tables: each word's lower bits, then the upper ends joined by threes."""
-    ends = F.transform(w, lambda x: F.shiftrightunsigned(x, TABLE_BITS))
-    joined = []
-    for lo in range(0, SKETCH_WORDS - ENDS + 1, ENDS):
-        word = F.get(ends, F.lit(lo))
-        for k in range(1, ENDS):
-            word = word.bitwiseOR(F.shiftleft(F.get(ends, F.lit(lo + k)), k * END_BITS))
-        joined.append(word)
-    return F.concat(w, F.array(*joined))
+def _codes(sets: list[np.ndarray]) -> list:
+    """Two longs for each set, equal for equal sets only (128 bits of XXH3), and its size."""
+    whole = [xxhash.xxh3_128_digest(h.tobytes()) for h in sets]
+    return [[int.from_bytes(d[i : i + 8], "little", signed=True) for d in whole] for i in (0, 8)] + [[len(h) for h in sets]]
 
 
-def shingle_sets(docs: DataFrame, wanted: DataFrame, words: int) -> DataFrame:
-    """(text_hash, h): the sorted distinct shingle hashes of the texts whose hashes ``wanted`` lists."""
+def _lists(arrays: list[np.ndarray]) -> pa.Array:
+    """Arrays of unsigned numbers as one column of lists of longs."""
+    ends = np.cumsum([0, *map(len, arrays)])
+    flat = np.concatenate([*arrays, np.empty(0, np.uint64)]).view(np.int64)
+    return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(flat))
 
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for frame in frames:
-            h = [np.unique(_shingles(t, words)).view(np.int64) for t in frame["text"]]
-            yield pd.DataFrame({"text_hash": frame["text_hash"], "h": h})
 
-    texts = texts_for_python(docs).select("text", F.xxhash64("text").alias("text_hash")).join(wanted, "text_hash", "left_semi")
-    return texts.dropDuplicates(["text_hash"]).mapInPandas(run, "text_hash long, h array<long>")
+def _text_codes() -> list[Column]:
+    """Two independent 64-bit hashes of the text."""
+    text = text_or_empty()
+    return [F.xxhash64(text).alias("text_hash"), F.xxhash64(F.lit(1), text).alias("text_other")]
 
 
-def _rare_keys(sets: DataFrame, similarity: float) -> DataFrame:
-    """(node, key): the rarest shingles of each set (node, n, h), as many as must hold one in common with any set that reaches ``similarity``."""
-    each = sets.select("node", "n", F.explode("h").alias("x"))
-    of = each.groupBy("x").agg(F.count("*").alias("df"))
-    ordered = each.join(of, "x").groupBy("node", "n").agg(F.sort_array(F.collect_list(F.struct("df", "x"))).alias("all"))
-    taken = F.col("n") - F.ceil(similarity * F.col("n") - 1e-9) + 1
-    keys = F.transform(F.slice("all", F.lit(1), taken.cast("int")), lambda e: F.xxhash64(F.lit(-1), e["x"]))
-    return ordered.select("node", F.explode(keys).alias("key"))
+def shingle_sets(docs: DataFrame, words: int) -> DataFrame:
+    """(doc_id, text_hash, text_other, s, s_other, n): codes of each whole text and of its set of shingles, and the set's size."""
+    coded = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", *_text_codes())
+    made = lambda: lambda texts: _codes([_set_of(t, words) for t in texts])
+    return over_texts(coded, made, "s long, s_other long, n int", ("doc_id", "text_hash", "text_other"))
+
+
+def _hopeful(docs: DataFrame, nodes: DataFrame, words: int, similarity: float) -> DataFrame:
+    """The nodes that may have a partner, by the first part of the shingle space."""
+    top = int(setjoin.FIRST_SHARE * 2**64)
+
+    def first_part(texts: list[str]) -> list:
+        sets = [_set_of(t, words) for t in texts]
+        own = [h[: np.searchsorted(h, np.uint64(top))] for h in sets]
+        of = np.repeat(np.array(_codes(sets)[0], np.int64), list(map(len, own)))
+        return [of, np.concatenate([*own, np.empty(0, np.uint64)]).view(np.int64)]
+
+    # copies need not be left out: they have one code, and add nothing to a shingle's least and greatest
+    alone = setjoin.alone(over_texts(docs, lambda: first_part, "node long, x long", ()))
+    several = F.count("*").over(Window.partitionBy("s")) > 1  # sets whose first codes collide are not ruled out
+    held = nodes.withColumn("several", several).join(alone.withColumnRenamed("node", "s"), "s", "left")
+    return settle(held.where((F.col("n") > 0) & (F.col("several") | setjoin.may_have_partner(similarity))).select("node", "stands.*"))
+
+
+def _profiles(docs: DataFrame, hopeful: DataFrame, words: int, similarity: float) -> DataFrame:
+    """(node, n, own, shared, w): of sets that may have a partner, the number of shingles no other such set has, the others from rare to common, and a sketch."""
+
+    def sets(texts: list[str]) -> list:
+        own = [_set_of(t, words) for t in texts]
+        return [_lists(own), _lists([np.array(_majority(_mixed(h, SKETCH_WORDS)), np.uint64) for h in own])]
+
+    rows = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("id"), "text", *_text_codes())
+    texts = rows.join(broadcast_if_small(hopeful), ["id", "text_hash", "text_other"])
+    found = over_texts(texts, lambda: sets, "h array<long>, w array<long>", ("node",))
+    found = settle(found.dropDuplicates(["node"]).withColumn("n", F.size("h")))
+    return settle(setjoin.profiles(found.select("node", "n", "h"), similarity).join(found.select("node", "w"), "node"))
 
 
 def likeness(w: Column, n: Column, other_w: Column, other_n: Column) -> Column:
     """Estimated Jaccard similarity of two shingle sets from their sketches and sizes."""
     apart = F.aggregate(F.zip_with(w, other_w, lambda a, b: F.bit_count(a.bitwiseXOR(b))), F.lit(0), lambda s, d: s + d)
     shared = F.cos(apart * (math.pi / (BITS * SKETCH_WORDS))) * F.sqrt(n * other_n)
-    return F.when(apart == 0, 1.0).when(n * other_n == 0, 0.0).otherwise(shared / (n + other_n - F.least(shared, n, other_n)))
+    return F.when(apart == 0, 1.0).otherwise(shared / (n + other_n - F.least(shared, n, other_n)))
+
 
+def _met_in_tables(sets: DataFrame, similarity: float) -> DataFrame:
+    """Pairs (u, v) of a set and the leader of a bucket that it shares in a covering table of a sketch word.
 
-def _alike(docs: DataFrame, nodes: DataFrame, pairs: DataFrame, words: int, similarity: float) -> DataFrame:
-    """The pairs (u, v) whose sets of shingles reach ``similarity``: by estimate, or exactly where that is in doubt or a set is short."""
-    of = lambda name: nodes.select(F.col("node").alias(name), *[F.col(c).alias(f"{c}_{name}") for c in ("w", "n", "text_hash")])
+    The leader of a bucket is the set with the least share of shingles of its own, which is the most likely
+    to be the original of the others. Pairs whose estimate is far too low are left out.
+    """
+    masks = covering_masks(TABLE_RADIUS)
+    held = F.split(F.lit(",".join(str(_signed(m)) for m in masks)), ",").cast("array<bigint>")
+    of_table = lambda k: F.xxhash64(k, F.get(F.col("w"), F.floor(k / len(masks)).cast("int")).bitwiseAND(F.get(held, k % len(masks))))
+    keys = F.transform(F.sequence(F.lit(0), F.lit(len(masks) * SKETCH_WORDS - 1)), of_table)
+    keyed = sets.select("node", F.struct((F.col("own") / F.col("n")).alias("share"), "node").alias("place"), F.explode(keys).alias("key"))
+    leaders = keyed.groupBy("key").agg(F.min("place").alias("leader"), F.max("place").alias("last")).where("leader < last")
+    met = keyed.join(leaders.select("key", F.col("leader.node").alias("v")), "key").where("node <> v").select(F.col("node").alias("u"), "v").distinct()
     guess = likeness(F.col("w_u"), F.col("n_u"), F.col("w_v"), F.col("n_v"))
-    guess = F.when(F.least("n_u", "n_v") >= SHORT, guess).otherwise(similarity)  # of short sets, always in doubt
-    both = pairs.join(of("u"), "u").join(of("v"), "v").select("u", "v", "text_hash_u", "text_hash_v", guess.alias("guess"))
-    guessed = settle(both.where(F.col("guess") >= similarity - DOUBT))
-    open_pairs = guessed.where(F.col("guess") < similarity + DOUBT)
-    wanted = open_pairs.select(F.explode(F.array("text_hash_u", "text_hash_v")).alias("text_hash")).distinct()
-    sets = settle(shingle_sets(docs, wanted, words))
-    set_of = lambda name: sets.select(F.col("text_hash").alias(f"text_hash_{name}"), F.col("h").alias(f"h_{name}"))
-    common = F.size(F.array_intersect("h_u", "h_v"))
-    reached = common >= similarity * (F.size("h_u") + F.size("h_v") - common)
-    exact = open_pairs.join(set_of("u"), "text_hash_u").join(set_of("v"), "text_hash_v").where(reached)
-    return guessed.where(F.col("guess") >= similarity + DOUBT).select("u", "v").unionByName(exact.select("u", "v"))
+    return setjoin.with_both(sets, met, ["w", "n"]).where(guess >= similarity - DOUBT).select("u", "v")
 
 
 def near_copies(docs: DataFrame, words: int = 5, similarity: float = 0.8) -> DataFrame:
     """Groups of documents whose sets of word shingles are alike: doc_id, text_hash (XXH64), class_id (the smallest doc_id).
 
-    At a similarity of 0.8, about 15 % of the bits differ, too many for covering tables of one word.
-    So a sketch has SKETCH_WORDS independent words, whose bits make 16 table words of TABLE_BITS bits,
-    each with covering tables of TABLE_RADIUS: sketches within that radius in any table word surely
-    meet, and most wider ones do in one of the 240 tables. In a bucket, each member is first compared
-    with the least one, by all bits and the sizes of the sets; then all others of the bucket are
-    compared with each other unless they are in one component by then. So the comparisons grow with
-    the rows for groups of near copies, but with the pairs for members of one bucket that are not
-    alike. Buckets are never cut; sets whose sizes alone rule out ``similarity`` are not compared.
-    The member met in most tables comes first. Sets under SHORT shingles have no tables: they and the sets
-    that can be like them meet in the buckets of their rarest shingles, where none is missed, and their
-    pairs are always settled exactly. Other estimates within DOUBT of ``similarity`` are settled by the
-    exact likeness of the two sets. Groups are the components of the pairs that reach
-    ``similarity``. Texts without words are one group. Repeated rows stay; null ids are in no
-    minimum; an empty table gives no rows.
+    Groups are the components of all pairs of texts whose sets' Jaccard similarity is ``similarity`` or more. A
+    sketch of a set has SKETCH_WORDS words of SimHash, each with covering tables: sets that differ in
+    TABLE_RADIUS bits or fewer of any word surely meet, but at 0.8 about 15 % of all bits differ, so tables alone
+    cannot promise every pair. They join most; setjoin.links settles the rest by an exact way, so no pair is
+    lost. Only sets that may have a partner come that far: one with too many shingles of its own has none. Equal
+    sets are one node, so copies cost nothing; texts without words are one group. Repeated rows stay; null ids
+    are in no minimum; an empty table gives no rows.
     """
-    low = (1 << SIZE_BITS) - 1
-    of_size = F.least(F.lit(low), F.floor(F.ln(F.col("n") + 1) * SIZE_STEPS))
-    most = math.floor((SHORT - 1) / similarity + 1e-9)  # shingles of a set that a short one can be like
-    found = settle(sketches(docs, words, most).withColumn("node", F.xxhash64("w", "n").bitwiseAND(F.lit(~low)).bitwiseOR(of_size)))
-    nodes = settle(
-        found.groupBy("node").agg(F.first("w").alias("w"), F.first("n").alias("n"), F.min("text_hash").alias("text_hash"), F.first("h").alias("h"), F.min("doc_id").alias("least"))
-    )
-    masks = covering_masks(TABLE_RADIUS, TABLE_BITS)
-    held = F.split(F.lit(",".join(map(str, masks))), ",").cast("array<bigint>")
-    tables = len(masks) * (SKETCH_WORDS + SKETCH_WORDS // ENDS)
-    of_word = lambda k: F.get(F.col("t"), F.floor(k / len(masks)).cast("int")).bitwiseAND(F.get(held, k % len(masks)))
-    keys = F.transform(F.sequence(F.lit(0), F.lit(tables - 1)), lambda k: F.xxhash64(k, of_word(k)))
-    keyed = nodes.where(F.col("n") >= SHORT).select("node", _table_words(F.col("w")).alias("t")).select("node", F.explode(keys).alias("key"))
-    keyed = keyed.unionByName(_rare_keys(nodes.where("h is not null"), similarity)).repartition("key")
-    shared = keyed.groupBy("key").agg(F.min("node").alias("v"), F.max("node").alias("top")).where("v < top").select("key", "v")
-    buckets = settle(keyed.join(shared, "key").select("key", "node", "v"))
-    size_of = lambda c: c.bitwiseAND(F.lit(low))
-    alike_in_size = lambda a, b: F.abs(size_of(a) - size_of(b)) <= math.ceil(SIZE_STEPS * math.log(1 / similarity)) + 1
-    met = buckets.where((F.col("node") != F.col("v")) & alike_in_size(F.col("node"), F.col("v")))
-    met = met.groupBy(F.col("node").alias("u"), "v").agg(F.count("*").alias("tables"))
-    # one row a node: the member it met in most tables, and all that it met, at most one a table
-    met = settle(met.groupBy("u").agg(F.max_by("v", "tables").alias("best"), F.collect_list("v").alias("all")))
-    first = settle(_alike(docs, nodes, met.select("u", F.col("best").alias("v")), words, similarity))
-    roots_of = lambda edges: settle(nodes.select("node").join(components(edges), "node", "left").select("node", F.coalesce("root", "node").alias("root")))
-    so_far = roots_of(first)
-    other = so_far.select(F.col("node").alias("v"), F.col("root").alias("root_v"))
-    rest = met.join(so_far, F.col("u") == F.col("node")).select("u", "root", F.explode("all").alias("v"))
-    rest = rest.join(other, (rest["v"] == other["v"]) & (F.col("root") != F.col("root_v"))).select("u", rest["v"])
-    so_far = roots_of(first.unionByName(_alike(docs, nodes, rest, words, similarity)))
-    # the others of a bucket with each other, by lists of those already in one component, whose pairs are left out
-    lists = buckets.where("node != v").join(so_far, "node").groupBy("key", "root").agg(F.collect_list("node").alias("all"))
-    several = lists.groupBy("key").agg(F.count("*").alias("roots")).where("roots > 1").select("key")
-    lists = settle(lists.join(several, "key", "left_semi"))
-    facing = lists.select("key", F.col("root").alias("root_v"), F.col("all").alias("all_v"))
-    pairs = lists.join(facing, "key").where("root < root_v").select(F.explode("all").alias("u"), "all_v")
-    pairs = pairs.select("u", F.explode(F.filter("all_v", lambda v: alike_in_size(F.col("u"), v))).alias("v"))
-    pairs = pairs.select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")).distinct()
-    alike = so_far.select(F.col("node").alias("u"), F.col("root").alias("v")).unionByName(_alike(docs, nodes, pairs, words, similarity))
-    named = nodes.select("node", "least").join(components(alike), "node", "left").select("node", "least", F.coalesce("root", "node").alias("root"))
+    found = settle(shingle_sets(docs, words))
+    stands = F.struct(F.coalesce("doc_id", F.lit(NO_ID)).alias("id"), "text_hash", "text_other")
+    nodes = settle(found.groupBy("s", "s_other").agg(F.min(stands).alias("stands"), F.first("n").alias("n"), F.min("doc_id").alias("least")))
+    nodes = settle(nodes.withColumn("node", F.monotonically_increasing_id()))  # numbers of written rows
+    sets = _profiles(docs, _hopeful(docs, nodes, words, similarity), words, similarity)
+    met = settle(setjoin.alike(sets, _met_in_tables(sets, similarity), similarity))
+    linked = components(setjoin.links(sets, similarity, met))
+    named = nodes.select("s", "s_other", "node", "least").join(linked, "node", "left").withColumn("root", F.coalesce("root", "node"))
     ids = named.groupBy("root").agg(F.min("least").alias("class_id"))
-    return found.select("doc_id", "text_hash", "node").join(named.join(ids, "root").select("node", "class_id"), "node").select("doc_id", "text_hash", "class_id")
+    of = named.join(ids, "root").select("s", "s_other", "class_id")
+    return found.join(of, ["s", "s_other"]).select("doc_id", "text_hash", "class_id")
 
 
 def keep_one(docs: DataFrame, words: int = 5, similarity: float = 0.8) -> DataFrame:
