@@ -228,10 +228,11 @@ def likeness(w: Column, n: Column, other_w: Column, other_n: Column) -> Column:
 
 
 def _met_in_tables(sets: DataFrame, similarity: float) -> DataFrame:
-    """Pairs (u, v) of a set and the leader of a bucket that it shares in a covering table of a sketch word.
+    """Pairs (u, v) of a set and a leader of the buckets that it shares in the covering tables of the sketch words.
 
     The leader of a bucket is the set with the least share of shingles of its own, which is the most likely
-    to be the original of the others. Pairs whose estimate is far too low are left out.
+    to be the original of the others. Of the leaders that a set meets, it is paired with the one of the least share and
+    with the one met in most tables. Pairs whose estimate is far too low are left out.
     """
     masks = covering_masks(TABLE_RADIUS)
     held = F.split(F.lit(",".join(str(_signed(m)) for m in masks)), ",").cast("array<bigint>")
@@ -239,7 +240,10 @@ def _met_in_tables(sets: DataFrame, similarity: float) -> DataFrame:
     keys = F.transform(F.sequence(F.lit(0), F.lit(len(masks) * SKETCH_WORDS - 1)), of_table)
     keyed = sets.select("node", F.struct((F.col("own") / F.col("n")).alias("share"), "node").alias("place"), F.explode(keys).alias("key"))
     leaders = keyed.groupBy("key").agg(F.min("place").alias("leader"), F.max("place").alias("last")).where("leader < last")
-    met = keyed.join(leaders.select("key", F.col("leader.node").alias("v")), "key").where("node <> v").select(F.col("node").alias("u"), "v").distinct()
+    met = keyed.join(leaders.select("key", "leader"), "key").where(F.col("node") != F.col("leader.node"))
+    met = met.groupBy(F.col("node").alias("u"), "leader").agg(F.count("*").alias("tables"))
+    both = F.array_distinct(F.array(F.min("leader")["node"], F.max(F.struct("tables", "leader"))["leader"]["node"]))
+    met = met.groupBy("u").agg(both.alias("v")).select("u", F.explode("v").alias("v"))
     guess = likeness(F.col("w_u"), F.col("n_u"), F.col("w_v"), F.col("n_v"))
     return setjoin.with_both(sets, met, ["w", "n"]).where(guess >= similarity - DOUBT).select("u", "v")
 
@@ -276,10 +280,11 @@ def keep_one(docs: DataFrame, words: int = 5, similarity: float = 0.8) -> DataFr
     """
     found = settle(near_copies(docs.select("doc_id", "text"), words, similarity))
     own = F.max(F.col("doc_id") == F.col("class_id"))
-    named = found.where("doc_id is not null").groupBy("doc_id").agg(F.count("*").alias("_rows"), own.alias("_own")).where("_own")
+    named = settle(found.where("doc_id is not null").groupBy("doc_id").agg(F.count("*").alias("_rows"), own.alias("_own")).where("_rows > 1 or not _own"))
     unnamed = found.where("doc_id is null and class_id is null").select(F.col("text_hash").alias("_kept_hash")).distinct()
-    once = docs.join(named.where("_rows = 1"), "doc_id", "left_semi")
-    again = docs.join(named.where("_rows > 1"), "doc_id", "left_semi").dropDuplicates(["doc_id"])
+    # few rows go, or stay once: they are listed, not those that stay
+    once = docs.where("doc_id is not null").join(broadcast_if_small(named.select("doc_id")), "doc_id", "left_anti")
+    again = docs.join(broadcast_if_small(named.where("_own").select("doc_id")), "doc_id", "left_semi").dropDuplicates(["doc_id"])
     blank = docs.where(F.col("doc_id").isNull()).withColumn("_kept_text", text_or_empty())
     blank = blank.join(unnamed, F.xxhash64("_kept_text") == F.col("_kept_hash"), "left_semi").dropDuplicates(["_kept_text"])
     return once.unionByName(again).unionByName(blank.select(docs.columns))
