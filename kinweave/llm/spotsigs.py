@@ -2,12 +2,11 @@
 
 from __future__ import annotations
 
-import math
-
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from kinweave.llm.common import MAX_RANGES, ROWS_PER_RANGE, key_ranges, range_of, settle, text_or_empty
+from kinweave.llm import setjoin
+from kinweave.llm.common import MAX_RANGES, ROWS_PER_RANGE, broadcast_if_small, key_ranges, range_of, settle, text_or_empty
 from kinweave.llm.components import components
 
 #: Anchors: common words of the corpus languages, lower case.
@@ -19,10 +18,17 @@ ANCHORS = (
 ).split()
 #: Content words in a chain.
 CHAIN = 3
+#: A signature is 32 bits as a signed number, in the order of the unsigned one.
+LOWEST = -(1 << 31)
+
+
+def _code(*words: Column) -> Column:
+    """The first 32 bits of an MD5 of words, those that are null left out."""
+    return (F.conv(F.substring(F.md5(F.concat_ws(" ", *words).cast("binary")), 1, 8), 16, 10).cast("long") + LOWEST).cast("int")
 
 
 def signatures(df: DataFrame, text: str, out: str) -> DataFrame:
-    """Add ``out``: the sorted distinct signatures of a text column as an array of 32-bit numbers.
+    """Add ``out``: the sorted distinct signatures of a text column as an array of ints.
 
     Words are runs of letters and digits in lower case. At each anchor, and at the text's start, the
     next CHAIN content words (fewer at the end, one at least) make a signature with the anchor. A text
@@ -36,32 +42,31 @@ def signatures(df: DataFrame, text: str, out: str) -> DataFrame:
     )
 
     def chain(anchor: Column, at: Column) -> Column:
-        return F.xxhash64(anchor, *[F.get(F.col("_c"), at + k) for k in range(CHAIN)]).bitwiseAND(F.lit(0xFFFFFFFF))
+        return _code(anchor, *[F.get(F.col("_c"), at + k) for k in range(CHAIN)])
 
     own = F.transform("_p", lambda p, i: F.when(F.get(F.col("_c"), p - i).isNotNull(), chain(F.get(F.col("_w"), p), p - i)))
     start = (
         F.when(F.size("_c") > 0, chain(F.lit("^"), F.lit(0)))
-        .when(F.size("_w") > 0, F.xxhash64(F.lit("^"), F.array_join("_w", " ")).bitwiseAND(F.lit(0xFFFFFFFF)))
-        .when(F.length(text) > 0, F.xxhash64(F.lit("^"), F.col(text)).bitwiseAND(F.lit(0xFFFFFFFF)))
+        .when(F.size("_w") > 0, _code(F.lit("^"), F.array_join("_w", " ")))
+        .when(F.length(text) > 0, _code(F.lit("^"), F.col(text)))
     )
     every = F.filter(F.concat(own, F.array(start)), lambda s: s.isNotNull())
     return marked.withColumn(out, F.array_sort(F.array_distinct(every))).drop("_w", "_c", "_p")
 
 
-def likeness(a: Column, b: Column, floor: float = 0.0) -> Column:
-    """Jaccard similarity of two signature arrays, 1 for two empty ones.
-
-    Where the ratio of the sizes is under ``floor`` the sets cannot reach it: the result is 0, and the
-    intersection is not taken.
-    """
-    small, large = F.least(F.size(a), F.size(b)), F.greatest(F.size(a), F.size(b))
+def likeness(a: Column, b: Column) -> Column:
+    """Jaccard similarity of two signature arrays, 1 for two empty ones."""
     common = F.size(F.array_intersect(a, b))
-    exact = F.when(large == 0, 1.0).otherwise(common / (F.size(a) + F.size(b) - common))
-    return F.when(small < large * floor, 0.0).otherwise(exact) if floor else exact
+    return F.when((F.size(a) == 0) & (F.size(b) == 0), 1.0).otherwise(common / (F.size(a) + F.size(b) - common))
 
 
 def fingerprint_of(signature: Column) -> Column:
-    return F.array_join(F.transform(signature, lambda s: F.lower(F.lpad(F.hex(s), 8, "0"))), ",")
+    return F.array_join(F.transform(signature, lambda s: F.lower(F.lpad(F.hex(s.cast("long") - LOWEST), 8, "0"))), ",")
+
+
+def _codes_of(signature: str) -> list[Column]:
+    """Two independent 64-bit hashes of a set."""
+    return [F.xxhash64(signature).alias("s"), F.xxhash64(F.lit(1), signature).alias("s_other")]
 
 
 def compare_documents(docs: DataFrame) -> DataFrame:
@@ -71,9 +76,11 @@ def compare_documents(docs: DataFrame) -> DataFrame:
     many (or all) of the next document's, by descending doc_id (after the last: the first; null
     ids last; rows of one id by text). Result: doc_id, n_chars, edited_sha256, fingerprint,
     edited_fingerprint (sorted signatures in hex, comma-joined), near_edited, near_next (likeness of
-    the fingerprint to the edited text's and to the next document's). Null texts are empty, and
-    empty fingerprints are alike (1). Repeated rows stay; an empty table gives no rows.
+    the fingerprint to the edited text's and to the next document's), class_id (see near_duplicates). Null texts
+    are empty, and empty fingerprints are alike (1). Only doc_id and text are read. Repeated rows stay; an empty
+    table gives no rows.
     """
+    classes = _classes(_sets(docs))
     splits = key_ranges(docs.select("doc_id"), "doc_id", ROWS_PER_RANGE, MAX_RANGES)
     ranged = docs.select(
         F.col("doc_id").cast("long").alias("doc_id"), text_or_empty().alias("text"), range_of(F.col("doc_id"), splits).alias("_range")
@@ -107,6 +114,7 @@ def compare_documents(docs: DataFrame) -> DataFrame:
         F.when(F.col("_text").isNull(), F.col("_head_sig")).otherwise(F.col("_sig")).alias("next_sig"),
         edited.alias("edited"),
     )
+    both = both.select("*", *_codes_of("sig")).join(broadcast_if_small(classes), ["s", "s_other"], "left")
     return signatures(both, "edited", "edited_sig").select(
         "doc_id",
         "n_chars",
@@ -115,42 +123,39 @@ def compare_documents(docs: DataFrame) -> DataFrame:
         fingerprint_of(F.col("edited_sig")).alias("edited_fingerprint"),
         likeness(F.col("sig"), F.col("edited_sig")).cast("double").alias("near_edited"),
         likeness(F.col("sig"), F.col("next_sig")).cast("double").alias("near_next"),
+        F.coalesce("class_id", "doc_id").alias("class_id"),
     )
 
 
+def _sets(docs: DataFrame) -> DataFrame:
+    """(doc_id, s, s_other, sig) of each text, written out."""
+    sets = signatures(docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_or_empty().alias("text")), "text", "sig")
+    return settle(sets.select("doc_id", *_codes_of("sig"), "sig"))
+
+
+def _classes(sets: DataFrame, threshold: float = 0.8) -> DataFrame:
+    """The signature sets that stand for several documents, or are alike to others, with the class_id of all: (s, s_other, class_id)."""
+    nodes = settle(sets.groupBy("s", "s_other").agg(F.first("sig").alias("h"), F.min("doc_id").alias("least"), F.count("*").alias("rows")))
+    nodes = settle(nodes.withColumn("node", F.monotonically_increasing_id()).withColumn("n", F.size("h")))  # numbers of written rows
+    top = LOWEST + int(setjoin.FIRST_SHARE * 2**32)
+    part = nodes.select("node", F.explode(F.filter("h", lambda s: s < top)).alias("x"))
+    held = nodes.join(setjoin.alone(part), "node", "left").where(setjoin.may_have_partner(threshold))
+    profiles = settle(setjoin.profiles(settle(held.select("node", "n", "h")), threshold))
+    linked = components(setjoin.links(profiles, threshold))
+    named = nodes.select("s", "s_other", "node", "least", "rows").join(linked, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    ids = named.groupBy("root").agg(F.min("least").alias("class_id"), F.sum("rows").alias("rows"))
+    return settle(named.drop("rows").join(ids.where("rows > 1"), "root").select("s", "s_other", "class_id"))
+
+
 def near_duplicates(docs: DataFrame, threshold: float = 0.8) -> DataFrame:
     """Classes of documents whose signature sets are alike: doc_id, class_id (its smallest doc_id).
 
-    Equal sets are one node first. Sets are partitioned by length: two sets whose likeness reaches the
-    threshold lie in the same or in neighbouring partitions, as lengths of one partition span the
-    factor 1 / threshold. Inside, sets meet by the signatures of their prefixes in the order of
-    rarity, of which alike sets share one; a pair is dropped by its lengths before the
-    intersection. Under one signature, a set is compared with the sets of its partition and of the
-    one below. Empty texts are alike. Null ids are left out of the minimum. Repeated rows stay.
+    Classes are the components of all pairs of sets whose Jaccard similarity reaches the threshold. Equal sets are
+    one node first. Sets are partitioned by length and meet by the signatures of their prefixes in the order of
+    rarity; pairs that lengths and places rule out are not compared (see setjoin.links). Empty texts are
+    alike. Null ids are left out of the minimum; a class of one document without an id has none. Repeated rows
+    stay; an empty table gives no rows.
     """
-    sets = settle(signatures(docs.select("doc_id", text_or_empty().alias("text")), "text", "sig").select("doc_id", "sig"))
-    nodes = settle(sets.groupBy(F.xxhash64("sig").alias("node")).agg(F.first("sig").alias("sig"), F.min("doc_id").alias("least")))
-    length = F.size("sig")
-    part = F.floor(F.log(F.greatest(length, F.lit(1))) / math.log(1 / threshold) + 1e-9).cast("int")
-    rare = nodes.select("node", F.explode("sig").alias("s")).groupBy("s").agg(F.count("*").alias("df"))
-    ranked = (
-        nodes.select("node", length.alias("n"), part.alias("part"), F.explode("sig").alias("s"))
-        .join(rare, "s")
-        .withColumn("k", F.row_number().over(Window.partitionBy("node").orderBy("df", "s")))
-        .where(F.col("k") <= F.col("n") - F.ceil(F.col("n") * threshold) + 1)
-        .select("node", "n", "part", "s")
-    )
-    up = ranked.select(F.explode(F.array(F.col("part"), F.col("part") + 1)).alias("part"), F.col("node").alias("b"), F.col("n").alias("m"), "s")
-    pairs = (
-        ranked.join(up, ["part", "s"])
-        .where((F.col("node") != F.col("b")) & (F.least("n", "m") >= F.greatest("n", "m") * threshold))
-        .select(F.least("node", "b").alias("a"), F.greatest("node", "b").alias("b"))
-        .distinct()
-    )
-    of = lambda name: nodes.select(F.col("node").alias(name), F.col("sig").alias(f"sig_{name}"))
-    edges = (
-        pairs.join(of("a"), "a").join(of("b"), "b").where(likeness(F.col("sig_a"), F.col("sig_b"), threshold) >= threshold).select(F.col("a").alias("u"), F.col("b").alias("v"))
-    )
-    named = nodes.join(components(edges), "node", "left").select("node", "least", F.coalesce("root", "node").alias("root"))
-    ids = named.groupBy("root").agg(F.min("least").alias("class_id"))
-    return sets.withColumn("node", F.xxhash64("sig")).join(named.join(ids, "root").select("node", "class_id"), "node").select("doc_id", "class_id")
+    sets = _sets(docs)
+    classes = _classes(sets, threshold)
+    return sets.join(broadcast_if_small(classes), ["s", "s_other"], "left").select("doc_id", F.coalesce("class_id", "doc_id").alias("class_id"))
