@@ -7,17 +7,18 @@ from dataclasses import dataclass
 import numpy as np
 import pandas as pd
 import zstandard
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from kinweave.llm.common import BATCH_BYTES, BATCH_ROWS, crc_of_id, text_or_empty
+from kinweave.llm.common import crc_of_id, settle, small_batches, text_or_empty
 
-#: Labelled rows a class that the fit takes, by the order of a hash of their ids; a bound of the driver's memory.
-ROWS_PER_CLASS = 4000
+#: Labelled rows a class that the fit takes, and bytes of their whole texts that a dictionary is trained on, both by
+#: the order of a hash of their ids: bounds of the driver's memory. A text of over a quarter of the bytes is not taken.
+ROWS_PER_CLASS, BYTES_PER_CLASS = 4000, 16 << 20
 #: Of those, the share whose texts fill the dictionaries; the others calibrate.
 DICTIONARY_SHARE = 0.7
-#: Bytes compressed at once, blocks that a text gives to its dictionary at most, and bytes of a dictionary.
-BLOCK, BLOCKS_PER_TEXT, DICTIONARY = 512, 4, 112 << 10
+#: Bytes compressed at once, and bytes of a dictionary.
+BLOCK, DICTIONARY = 512, 112 << 10
 LEVEL = 3
 #: A document is predicted good from this score on.
 CUT = 0.3
@@ -90,9 +91,7 @@ def _logistic(x: np.ndarray, y: np.ndarray) -> tuple[float, float]:
 def difference_of(text: Column, model: Model) -> Column:
     """The normalised difference of whole texts, 0 for an empty one."""
 
-    conf = SparkSession.active().conf
-    conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
-    conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
+    small_batches(SparkSession.active())
 
     @F.pandas_udf("double")
     def difference(texts: pd.Series) -> pd.Series:
@@ -105,10 +104,10 @@ def difference_of(text: Column, model: Model) -> Column:
 def fit(docs: DataFrame, labels: DataFrame, rows: int = ROWS_PER_CLASS) -> Model:
     """Learn from labelled documents outside the held-out fold (CRC-32 of the id, modulo 5, is 0).
 
-    At most ``rows`` labelled ids a class are taken, in the order of a hash. Their texts give blocks,
-    spread over each whole text, to the dictionary of their class; the differences of the
-    rest, whose texts no dictionary holds, calibrate the score. With no labels of one class the
-    score is the smoothed share of label 1.
+    At most ``rows`` labelled ids a class are taken, in the order of a hash; of labels that contradict each other 1
+    counts, and of rows that repeat an id the least text. The whole texts of most of them, up to BYTES_PER_CLASS,
+    make the dictionary of their class; the differences of the rest, whose texts no dictionary holds, calibrate
+    the score. With no labels of one class the score is the smoothed share of label 1.
     """
     known = (
         labels.where(F.col("quality").isin(0, 1) & F.col("doc_id").isNotNull() & (crc_of_id() % 5 != 0))
@@ -117,18 +116,18 @@ def fit(docs: DataFrame, labels: DataFrame, rows: int = ROWS_PER_CLASS) -> Model
     )
     order = F.xxhash64("doc_id")
     drawn = [known.where(F.col("quality") == q).orderBy(order, "doc_id").limit(rows) for q in (0, 1)]
-    picked = drawn[0].unionByName(drawn[1]).withColumn("fills", F.pmod(F.xxhash64("doc_id", F.lit(7)), F.lit(100)) < round(100 * DICTIONARY_SHARE))
+    picked = drawn[0].unionByName(drawn[1])
     texts = docs.select("doc_id", text_or_empty().alias("text")).join(F.broadcast(picked), "doc_id")
-    chars = F.length("text")
-    count = F.least(F.lit(BLOCKS_PER_TEXT), F.ceil(chars / BLOCK)).cast("int")
-    blocks = F.transform(
-        F.sequence(F.lit(0), count - 1),
-        lambda i: F.substr(F.col("text"), (F.floor(i * chars / count) + 1).cast("int"), F.lit(BLOCK)),
-    )
-    filled = texts.where(F.col("fills") & (chars > 0)).select("doc_id", "quality", blocks.alias("blocks")).collect()
+    fills = F.pmod(F.xxhash64("doc_id", F.lit(7)), F.lit(100)) < round(100 * DICTIONARY_SHARE)
+    texts = settle(texts.groupBy("doc_id", "quality").agg(F.min("text").alias("text")).withColumn("fills", fills))
+    size = F.octet_length("text")
+    whole = texts.where(F.col("fills") & size.between(1, BYTES_PER_CLASS // 4))
+    so_far = F.sum(size).over(Window.partitionBy("quality").orderBy(order, "doc_id"))  # over at most ``rows`` rows
+    filled = whole.withColumn("so_far", so_far).where(F.col("so_far") <= BYTES_PER_CLASS).select("doc_id", "quality", "text").collect()
     samples: dict[int, list[bytes]] = {0: [], 1: []}
-    for row in sorted(filled, key=lambda r: (r["doc_id"], r["blocks"])):
-        samples[row["quality"]] += [b.encode("utf-8", "replace") for b in row["blocks"]]
+    for row in sorted(filled, key=lambda r: r["doc_id"]):
+        raw = row["text"].encode("utf-8", "replace")
+        samples[row["quality"]] += [raw[lo : lo + BLOCK] for lo in range(0, len(raw), BLOCK)]
     good, bad = _dictionary(samples[1]), _dictionary(samples[0])
     draft = Model(good, bad, 0.0, 0.0)
     seen = texts.where(~F.col("fills")).select("doc_id", "quality", difference_of(F.col("text"), draft).alias("x")).collect()
@@ -146,7 +145,7 @@ def score(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """Score every whole text: doc_id, held_out, score, predicted (1 from CUT on).
 
     Only the text enters a score. A null or empty text has a difference of 0 and so the
-    calibration's score there. Repeated rows stay; an empty table gives no rows.
+    calibration's score there. Only doc_id and text are read. Repeated rows stay; an empty table gives no rows.
     """
     model = fit(docs, labels)
     return docs.select(
