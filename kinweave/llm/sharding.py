@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from kinweave.llm.common import key_ranges, range_of
+from kinweave.llm.common import key_ranges, range_of, settle
 
 #: Rows numbered together in one task.
 SLOT_ROWS = 4096
@@ -58,21 +58,24 @@ def shard_documents(docs: DataFrame, shards: int | Sequence[float] = 40, grown:
     Result: doc_id, size (UTF-8 bytes plus 16; null text: 16), text_crc32 (null text: 0), law
     'key', shard, slot, grown_shard. Under this law equal texts with different ids may part. Places
     are numbered per shard and key range, then moved by the rows of the ranges before, so no task
-    numbers a whole shard. Rows of one id have the places of one run, in the order of
-    checksum and size; a null id comes first. Repeated rows stay; an empty table gives no rows.
+    numbers a whole shard; rows without an id, which share a shard, are numbered by ranges of their checksums. Rows
+    of one id have the places of one run, in the order of checksum and size; a null id comes first. Only
+    doc_id and text are read. Repeated rows stay; an empty table gives no rows.
     """
+    crc = F.coalesce(F.crc32(F.col("text").cast("binary")), F.lit(0)).cast("long")
     splits = key_ranges(docs.select("doc_id"), "doc_id", SLOT_ROWS)
     placed = rendezvous(
         docs.select(
             F.col("doc_id").cast("long").alias("doc_id"),
             (F.coalesce(F.octet_length("text"), F.lit(0)) + 16).cast("long").alias("size"),
-            F.coalesce(F.crc32(F.col("text").cast("binary")), F.lit(0)).cast("long").alias("text_crc32"),
-            range_of(F.col("doc_id"), splits).alias("part"),
+            crc.alias("text_crc32"),
+            F.when(F.col("doc_id").isNull(), (F.shiftright(crc, 24) - 256).cast("int")).otherwise(range_of(F.col("doc_id"), splits)).alias("part"),
         ),
         "doc_id",
         shards,
         grown,
     )
+    placed = settle(placed)  # read by the counts and by the places
     before = (
         placed.groupBy("shard", "part")
         .count()
