@@ -78,10 +78,11 @@ def _tables() -> tuple[list[tuple[str, str]], str, str, list[tuple[str, str]]]:
         if len(parts) == 2 and "<" not in parts[0] and unicodedata.normalize("NFC", chr(cp)) == chr(cp):
             pairs.append(("".join(chr(int(p, 16)) for p in parts), chr(cp)))
     source, target, deleted, places = [], [], [*JOINERS], {}
-    for cp in (*range(0x80, 0x3100), *range(0xFB00, 0xFB07), *range(0xFE00, 0xFE10), *range(0xFE20, 0xFE30), *range(0xFF00, 0xFFF0)):
+    for cp in (*range(0x80, 0xD800), *range(0xE000, 0x110000)):
         c = chr(cp)
-        if c in JOINERS or unicodedata.category(c) == "Cn":
-            continue
+        plain = unicodedata.normalize("NFKD", c) == c == c.lower() and unicodedata.category(c) != "Mn" and cp not in INDIC
+        if plain or c in JOINERS or unicodedata.category(c) == "Cn":
+            continue  # a space, or nothing
         inner = fold_text(f"x{c}x")[1:-1]
         if inner == "":
             deleted.append(c)
@@ -92,6 +93,9 @@ def _tables() -> tuple[list[tuple[str, str]], str, str, list[tuple[str, str]]]:
             places.setdefault(inner, chr(0xE000 + len(places)))
             source.append(c)
             target.append(places[inner])
+    # the text's own private characters are spaces, not placeholders
+    source += places.values()
+    target += " " * len(places)
     return pairs, "".join(source + deleted), "".join(target), [(p, text) for text, p in places.items()]
 
 
@@ -115,9 +119,8 @@ def norm_text(col: Column) -> Column:
         return F.when(text.rlike(r"[\u0900-\u0D7F]"), whole).otherwise(text)
 
     def spread(text: Column) -> Column:
-        full = text
-        for place, reading in places:
-            full = F.replace(full, F.lit(place), F.lit(reading))
+        held = F.split(F.lit("\n".join(f"{place}{reading}" for place, reading in places)), "\n")
+        full = F.aggregate(held, text, lambda t, p: F.replace(t, F.substring(p, 1, 1), F.substr(p, F.lit(2))))
         return F.when(text.rlike(r"[\uE000-\uF8FF]"), full).otherwise(text)
 
     def fold(text: Column) -> Column:

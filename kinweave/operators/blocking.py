@@ -16,7 +16,7 @@ WEIGHTS = {"c3": 0.25, "t": 1.0, "a": 1.25, "sn": 1.0, "fn": 1.5}
 
 @dataclass(frozen=True)
 class Caps:
-    """Largest document frequency of a key that still counts, by family; inclusive."""
+    """Largest document frequency of a key that still counts, by family; inclusive (fixed values)."""
 
     t: int = 1000
     a: int = 2000
@@ -67,12 +67,13 @@ def evidence(s1_keys: DataFrame, pool_keys: DataFrame, kept: DataFrame) -> DataF
     """Weighted evidence of each pair that shares an allowed key: s1_id, cand_id, score.
 
     Keys are joined with their country, so no pair crosses countries. Only pool keys are capped; a
-    key that many S1 rows share is a skewed join, which adaptive execution splits.
+    key that many S1 rows share is a skewed join, which adaptive execution splits. The matches are dealt by
+    s1_id once, which serves the sums and every ranking of an entity's candidates.
     """
     weight = _by_family(WEIGHTS) / F.log2(2 + F.col("df"))
     postings = pool_keys.join(kept, KEY).select(*KEY, F.col("entity_id").alias("cand_id"), weight.alias("w"))
     pairs = s1_keys.withColumnRenamed("entity_id", "s1_id").join(postings, KEY)
-    return pairs.groupBy("s1_id", "cand_id").agg(F.round(F.sum("w"), 9).alias("score"))
+    return pairs.select("s1_id", "cand_id", "w").repartition("s1_id").groupBy("s1_id", "cand_id").agg(F.round(F.sum("w"), 9).alias("score"))
 
 
 def top_k(pairs: DataFrame, score: str, k: int, rank: str = "cand_rank") -> DataFrame:
@@ -94,8 +95,8 @@ def candidates(s1: DataFrame, pool: DataFrame, caps: Caps = Caps(), most: int =
     return prefilter(evidence(s1_keys, pool_keys, allowed(frequencies(pool_keys), caps)), most)
 
 
-def plain_union(s1: DataFrame, pool: DataFrame, caps: Caps = Caps(c3=1 << 60)) -> DataFrame:
-    """Distinct pairs that share an allowed key, without evidence; c3 uncapped unless ``caps`` says otherwise."""
+def plain_union(s1: DataFrame, pool: DataFrame, caps: Caps = Caps()) -> DataFrame:
+    """Distinct pairs that share an allowed key, without evidence. An uncapped family makes nearly all pairs of a country."""
     pool_keys = keys(pool)
     kept = pool_keys.join(allowed(frequencies(pool_keys), caps).select(*KEY), KEY, "left_semi")
     return keys(s1).withColumnRenamed("entity_id", "s1_id").join(kept.withColumnRenamed("entity_id", "cand_id"), KEY).select("s1_id", "cand_id").distinct()

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -16,6 +18,17 @@ def truth_by_text(s1: DataFrame, pool: DataFrame) -> DataFrame:
     return left.join(pool.select(F.col("entity_id").alias("cand_id"), "h"), "h").select("s1_id", "cand_id")
 
 
+def label_by_text(pairs: DataFrame) -> DataFrame:
+    """Add is_match to pairs with both sides' text hashes: the pairs of truth_by_text, without listing all of them."""
+    return pairs.withColumn("is_match", F.coalesce((F.col("h_1") == F.col("h_2")).cast("int"), F.lit(0)))
+
+
+def degrees_by_text(s1: DataFrame, pool: DataFrame) -> DataFrame:
+    """Number of true matches of every S1 id, from the sizes of the classes of equal text hashes: entity_id, degree."""
+    sizes = pool.groupBy("h").agg(F.count("*").alias("degree"))
+    return s1.select("entity_id", "h").join(sizes, "h", "left").select("entity_id", F.coalesce("degree", F.lit(0)).alias("degree"))
+
+
 def known_truth(truth: DataFrame, s1: DataFrame, pool: DataFrame) -> DataFrame:
     """The true pairs whose two ids exist."""
     ids = lambda df, name: df.select(F.col("entity_id").alias(name))
@@ -51,19 +64,20 @@ def degrees(s1: DataFrame, truth: DataFrame) -> DataFrame:
     return s1.select("entity_id").join(counts, "entity_id", "left").withColumn("degree", F.coalesce("degree", F.lit(0)))
 
 
-def stratified_halves(s1: DataFrame, truth: DataFrame, n: int, seed: int = SEED) -> DataFrame:
+def stratified_halves(degrees: DataFrame, n: int, seed: int = SEED) -> DataFrame:
     """About n ids, drawn from each stratum (degree up to 4) in proportion, in two disjoint halves: entity_id, stratum, half.
 
     Each stratum gives the rounded-up share of n; its draws alternate between the halves in the
-    order of their hashes.
+    order of their hashes. Each task keeps the first draws of a stratum only, and about n rows are ordered in one.
     """
-    strata = degrees(s1, truth).select("entity_id", F.least("degree", F.lit(4)).alias("stratum"), hash_uniform(F.col("entity_id"), seed).alias("u"))
-    sizes = strata.groupBy("stratum").agg(F.count("*").alias("size"))
-    total = sizes.agg(F.sum("size").alias("total"))
-    quota = sizes.join(F.broadcast(total)).select("stratum", F.ceil(F.col("size") * n / F.col("total")).alias("quota"))
+    strata = degrees.select("entity_id", F.least("degree", F.lit(4)).alias("stratum"), hash_uniform(F.col("entity_id"), seed).alias("u"))
+    sizes = {r["stratum"]: r["size"] for r in strata.groupBy("stratum").agg(F.count("*").alias("size")).collect()}  # five rows
+    total = sum(sizes.values())
+    draws = [strata.where(F.col("stratum") == k).orderBy("u", "entity_id").limit(-(-size * n // total)) for k, size in sorted(sizes.items())]
+    drawn = reduce(DataFrame.unionByName, draws, strata.limit(0))
     order = Window.partitionBy("stratum").orderBy("u", "entity_id")
-    drawn = strata.withColumn("k", F.row_number().over(order)).join(F.broadcast(quota), "stratum").where(F.col("k") <= F.col("quota"))
-    return drawn.select("entity_id", "stratum", F.when(F.col("k") % 2 == 1, "calibration").otherwise("tuning").alias("half"))
+    half = F.when(F.row_number().over(order) % 2 == 1, "calibration").otherwise("tuning")
+    return drawn.select("entity_id", "stratum", half.alias("half"))
 
 
 def class_weight(labelled: DataFrame) -> DataFrame:

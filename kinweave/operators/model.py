@@ -39,22 +39,30 @@ def filled(pairs: DataFrame) -> DataFrame:
     return out
 
 
-def fit(labelled: DataFrame, rounds: int = 20, depth: int = 5, rate: float = 0.08, seed: int = 42, tolerance: float = 0.01) -> PipelineModel:
+def stopping(s1_id: Column) -> Column:
+    """Whether a training entity decides when to stop: a tenth of them, by a hash."""
+    return hash_uniform(s1_id, 1) < 0.1
+
+
+def fit(labelled: DataFrame, rounds: int = ROUNDS, depth: int = 5, rate: float = 0.08, seed: int = 42, tolerance: float = 0.0) -> PipelineModel:
     """Boosted trees on labelled pairs, positives weighted by negatives / positives.
 
-    A tenth of the S1 entities, by a hash, decides when to stop: at the first round that does not lower
+    The stopping entities end the training at the first round that does not lower
     their loss by the share ``tolerance``, after ``rounds`` at most. Spark has no patience of further rounds.
     """
     sc = labelled.sparkSession.sparkContext
     if sc.getCheckpointDir() is None:  # else the lineage grows with the rounds
-        sc.setCheckpointDir(labelled.sparkSession.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="kinweave-"))
+        shared = labelled.sparkSession.conf.get("spark.checkpoint.dir", None)
+        if not shared and not sc.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+        sc.setCheckpointDir(shared or tempfile.mkdtemp(prefix="kinweave-"))
     counts = labelled.agg(F.sum("is_match").alias("p"), F.count("*").alias("n")).first()
     weight = (counts["n"] - counts["p"]) / counts["p"] if counts["p"] else 1.0
     rows = filled(labelled).withColumns(
         {
             "label": F.col("is_match").cast("double"),
             "weight": F.when(F.col("is_match") == 1, float(weight)).otherwise(1.0),
-            "stops": hash_uniform(F.col("s1_id"), 1) < 0.1,
+            "stops": stopping(F.col("s1_id")),
         }
     )
     assembler = VectorAssembler(inputCols=[f"{k}_{c}" for c in FEATURES for k in ("f", "m")], outputCol="features")

@@ -14,15 +14,38 @@ from kinweave.functions.scores import jaccard
 GATE_FEATURES = ["name_cos", "name_jaccard_suffix_stripped", "addr_jaccard", "addr_cos", "street_number_match"]
 #: Tokens that name other countries (fixed values).
 SIGNALS = ["usa", "united", "states", "india", "delhi", "mumbai"]
+#: Bins of a median's histogram.
+BINS = 4096
 #: Leading prefixes of ids by side.
 PREFIXES = ("S2-", "S3-")
 
 
+def medians(flat: DataFrame, keys: list[str], value: str) -> DataFrame:
+    """Exact median of each group (keys..., median); nulls don't count, and a group of nulls alone has no row.
+
+    Rows become counts of distinct values first. A histogram of a group then tells in which of its bins the middle
+    ranks lie, and only the distinct values of these bins are ordered, so no group's values meet in one buffer. Bins cut
+    the range from 0 to 1, where the features lie; values outside it are in the first and the last.
+    """
+    bin_of = F.floor(F.least(F.greatest(F.col("v"), F.lit(0.0)), F.lit(1.0)) * (BINS - 1)).cast("int")
+    distinct = flat.where(F.col(value).isNotNull()).groupBy(*keys, F.col(value).alias("v")).agg(F.count("*").alias("c")).withColumn("bin", bin_of)
+    all_of = Window.partitionBy(*keys)
+    before = lambda w: F.coalesce(F.sum("c").over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    bins = distinct.groupBy(*keys, "bin").agg(F.sum("c").alias("c"))
+    bins = bins.select(*keys, "bin", "c", before(all_of.orderBy("bin")).alias("below"), F.sum("c").over(all_of).alias("n"))
+    low, high = F.floor((F.col("n") - 1) / 2), F.floor(F.col("n") / 2)
+    holds = lambda rank, at: (at <= rank) & (rank < at + F.col("c"))
+    middle = bins.where(holds(low, F.col("below")) | holds(high, F.col("below"))).select(*keys, "bin", "below", "n")  # two rows a group at most
+    inside = distinct.join(F.broadcast(middle), [*keys, "bin"]).withColumn("at", F.col("below") + before(Window.partitionBy(*keys, "bin").orderBy("v")))
+    pick = lambda rank: F.max(F.when(holds(rank, F.col("at")), F.col("v")))
+    return inside.groupBy(*keys).agg(((pick(low) + pick(high)) / 2).alias("median"))
+
+
 def feature_medians(labelled: DataFrame) -> DataFrame:
-    """Median of each gate feature by class; nulls don't count: feature, is_match, median."""
+    """Median of each gate feature by class; nulls don't count: feature, is_match, median (null if all are)."""
     rows = F.array(*[F.struct(F.lit(f).alias("feature"), F.col(f).cast("double").alias("v")) for f in GATE_FEATURES])
     flat = labelled.select("is_match", F.explode(rows).alias("r")).select("is_match", "r.*")
-    return flat.groupBy("feature", "is_match").agg(F.median("v").alias("median"))
+    return flat.select("feature", "is_match").distinct().join(medians(flat, ["feature", "is_match"], "v"), ["feature", "is_match"], "left")
 
 
 def adversarial_gate(labelled: DataFrame, by: str = "name_cos", floor: float = 0.99, gap: float = 0.1) -> DataFrame:
@@ -30,14 +53,10 @@ def adversarial_gate(labelled: DataFrame, by: str = "name_cos", floor: float = 0
 
     The verdict is SKIP if either side has no pairs, PASS if the medians differ by more than ``gap``, else FLAG.
     """
-    alike = labelled.where(F.col(by) >= floor)
-    side = lambda m: F.when(F.col("is_match") == m, F.col("addr_jaccard"))
-    counted = alike.agg(
-        F.count(F.when(F.col("is_match") == 1, 1)).alias("positives"),
-        F.count(F.when(F.col("is_match") == 0, 1)).alias("negatives"),
-        F.median(side(1)).alias("positive_median"),
-        F.median(side(0)).alias("negative_median"),
-    )
+    alike = labelled.where(F.col(by) >= floor).select("is_match", F.col("addr_jaccard").cast("double").alias("v"))
+    sizes = alike.agg(F.count(F.when(F.col("is_match") == 1, 1)).alias("positives"), F.count(F.when(F.col("is_match") == 0, 1)).alias("negatives"))
+    of = lambda m: F.max(F.when(F.col("is_match") == m, F.col("median")))
+    counted = sizes.join(F.broadcast(medians(alike, ["is_match"], "v").agg(of(1).alias("positive_median"), of(0).alias("negative_median"))))
     apart = F.coalesce(F.col("positive_median") - F.col("negative_median") > gap, F.lit(False))
     verdict = F.when((F.col("positives") == 0) | (F.col("negatives") == 0), "SKIP").when(apart, "PASS").otherwise("FLAG")
     return counted.withColumn("verdict", verdict)
@@ -100,6 +119,16 @@ def validate(matching: DataFrame, candidate: DataFrame, s1: DataFrame, pool: Dat
     return every.groupBy("rule", "severity").agg(F.count("*").alias("n")).join(shown, ["rule", "severity"])
 
 
+def order_errors(matching: DataFrame, candidate: DataFrame, examples: int = 5) -> DataFrame:
+    """Places at which two files (number, value of their lines) have rows of different ids, or only one has a row, as validate() reports them."""
+    key = lambda df, name: df.select("number", F.substring_index("value", "\t", 1).alias(name))
+    both = key(matching, "m").join(key(candidate, "c"), "number", "full").where(~F.col("m").eqNullSafe(F.col("c")))
+    item = F.concat_ws(">", F.coalesce("m", F.lit("")), F.coalesce("c", F.lit("")))
+    first = F.array_sort(F.collect_list(F.struct("number", item.alias("item"))))
+    shown = both.orderBy("number").limit(examples).agg(F.array_join(first["item"], ",").alias("examples"))
+    return both.agg(F.count("*").alias("n")).where("n > 0").join(F.broadcast(shown)).select(F.lit("row_order").alias("rule"), F.lit("error").alias("severity"), "n", "examples")
+
+
 def fingerprint(pairs: DataFrame, key: str, value: str) -> DataFrame:
     """Order-free fingerprint of a set of pairs per key: n, sum of hashes, xor of hashes."""
     h = F.conv(F.substring(F.md5(F.col(value).cast("binary")), 1, 12), 16, 10).cast("long")

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from kinweave.functions.scores import dot
@@ -34,18 +36,21 @@ def idf(pool: DataFrame, least: int = 2) -> DataFrame:
     return kept.join(F.broadcast(n)).select("field", "token", "df", (F.log((1 + F.col("n")) / (1 + F.col("df"))) + 1).alias("idf"))
 
 
-def weights(entities: DataFrame, fitted: DataFrame) -> DataFrame:
-    """Unit-length weights of known tokens: entity_id, field, token, weight."""
-    raw = terms(entities).join(fitted.select("field", "token", "idf"), ["field", "token"]).withColumn("raw", F.col("tf") * F.col("idf"))
-    norm = F.sqrt(F.sum(F.col("raw") * F.col("raw")).over(Window.partitionBy("entity_id", "field")))
-    return raw.select("entity_id", "field", "token", (F.col("raw") / norm).alias("weight"))
+def vectors(entities: DataFrame, fitted: DataFrame) -> DataFrame:
+    """One row per entity with a map from token to unit-length weight for each field; null where it has no known token."""
+    raw = terms(entities).join(fitted.select("field", "token", "idf"), ["field", "token"])
+    entry = F.struct("token", (F.col("tf") * F.col("idf")).alias("weight"))
+    lists = raw.groupBy("entity_id").agg(*[F.array_sort(F.collect_list(F.when(F.col("field") == f, entry))).alias(f) for f in FIELDS])
+    norms = lists.select("*", *[F.sqrt(F.aggregate(f, F.lit(0.0), lambda s, e: s + e["weight"] * e["weight"])).alias(f"{f}_norm") for f in FIELDS])
+    unit = lambda f: F.map_from_entries(F.transform(f, lambda e: F.struct(e["token"], e["weight"] / F.col(f"{f}_norm"))))
+    return norms.select("entity_id", *[F.when(F.size(f) > 0, unit(f)).alias(f"{f}_v") for f in FIELDS])
 
 
-def vectors(entities: DataFrame, fitted: DataFrame) -> DataFrame:
-    """One row per entity with a map of weights for each field; null where it has no known token."""
-    entry = F.struct("token", "weight")
-    maps = [F.map_from_entries(F.array_sort(F.collect_list(F.when(F.col("field") == f, entry)))).alias(f"{f}_v") for f in FIELDS]
-    return weights(entities, fitted).groupBy("entity_id").agg(*maps)
+def weights(entities: DataFrame, fitted: DataFrame) -> DataFrame:
+    """The vectors' entries: entity_id, field, token, weight."""
+    held = vectors(entities, fitted)
+    each = [held.select("entity_id", F.lit(f).alias("field"), F.explode(f"{f}_v").alias("token", "weight")) for f in FIELDS]
+    return reduce(DataFrame.unionByName, each)
 
 
 def with_sides(pairs: DataFrame, s1: DataFrame, pool: DataFrame, columns: list[str]) -> DataFrame:

@@ -37,15 +37,29 @@ class Linkage:
     """Lazy tables of one run; each is a plan, and nothing runs before an action."""
 
     def __init__(self, s1: DataFrame, pool: DataFrame, config: Config = Config()):
-        self.config = config
         # read by the keys, the frequencies, the weights and the features alike; spills to disk
-        self.s1, self.pool = (src.normalize(x).persist() for x in (s1, pool))
+        self._set(src.normalize(s1).persist(), src.normalize(pool).persist(), config)
+
+    def _set(self, s1: DataFrame, pool: DataFrame, config: Config) -> None:
+        self.s1, self.pool, self.config = s1, pool, config
+
+    @classmethod
+    def of_normalized(cls, s1: DataFrame, pool: DataFrame, config: Config) -> Linkage:
+        """The same tables under other settings."""
+        out = cls.__new__(cls)
+        out._set(s1, pool, config)
+        return out
 
     @classmethod
     def from_documents(cls, spark: SparkSession, sf_dir: str, config: Config = Config()) -> Linkage:
         view = src.entity_view(spark.read.parquet(f"{sf_dir}/documents.parquet"))
         return cls(view.where("src = 'S1'"), src.pool(view.where("src = 'S2'"), view.where("src = 'S3'")), config)
 
+    def unpersist(self) -> None:
+        """Let go of the tables that were kept for several steps."""
+        for df in (self.s1, self.pool, *[self.__dict__[k] for k in ("features", "labelled") if k in self.__dict__]):
+            df.unpersist()
+
     @cached_property
     def s1_keys(self) -> DataFrame:
         return blocking.keys(self.s1)
@@ -76,26 +90,46 @@ class Linkage:
 
     @cached_property
     def pairs(self) -> DataFrame:
-        """Candidates with both sides' columns and cosines."""
-        columns = [*features.SIDE, "name_v", "addr_v", "business_name", "name_n"]
-        sides = similarity.with_sides(self.candidates.select("s1_id", "cand_id"), self.prepared(self.s1), self.prepared(self.pool), columns)
-        return similarity.cosines(sides)
+        """Candidates with their cosines: only the vectors go to all of them."""
+        vectors = [x.select("entity_id", "addr_n").join(similarity.vectors(x, self.idf), "entity_id", "left") for x in (self.s1, self.pool)]
+        sides = similarity.with_sides(self.candidates.select("s1_id", "cand_id"), *vectors, ["addr_n", "name_v", "addr_v"])
+        return similarity.cosines(sides).drop(*[f"{c}_{n}" for c in ("name_v", "addr_v") for n in (1, 2)])
 
     @cached_property
     def ranked(self) -> DataFrame:
         return similarity.rank_by_proxy(self.pairs, self.config.proxy, self.config.topk)
 
+    @cached_property
+    def sides(self) -> DataFrame:
+        """The ranked pairs with both sides' columns, which those that were cut need not have."""
+        columns = [c for c in [*features.SIDE, "business_name", "name_n", "h"] if c != "addr_n" and (c != "h" or "h" in self.s1.columns)]
+        return similarity.with_sides(self.ranked, features.bags(self.s1), features.bags(self.pool), columns)
+
     @cached_property
     def features(self) -> DataFrame:
-        return features.features(self.ranked).select("s1_id", "cand_id", *features.FEATURES, "cand_rank").persist()
+        return features.features(self.sides).select("s1_id", "cand_id", *features.FEATURES, "cand_rank").persist()
 
     @cached_property
     def truth(self) -> DataFrame:
         return labels.truth_by_text(self.s1, self.pool)
 
+    @cached_property
+    def degrees(self) -> DataFrame:
+        return labels.degrees_by_text(self.s1, self.pool)
+
+    @cached_property
+    def labelled_sides(self) -> DataFrame:
+        return labels.label_by_text(self.sides)
+
+    @cached_property
+    def labelled_candidates(self) -> DataFrame:
+        """All candidates before the cut, with their labels."""
+        hashes = [x.select("entity_id", "h") for x in (self.s1, self.pool)]
+        return labels.label_by_text(similarity.with_sides(self.candidates, *hashes, ["h"])).drop("h_1", "h_2")
+
     @cached_property
     def labelled(self) -> DataFrame:
-        return labels.label(self.features, self.truth)
+        return features.features(self.labelled_sides).select("s1_id", "cand_id", *features.FEATURES, "cand_rank", "is_match").persist()
 
     @cached_property
     def scored(self) -> DataFrame:
@@ -112,20 +146,22 @@ class Linkage:
         return (src.result_lists(self.s1, found, "matched_entity_ids"), src.result_lists(self.s1, self.features, "candidate_entity_ids"))
 
 
-def train(spark: SparkSession, linkage: Linkage, truth: DataFrame, cutoffs: list[int], model_path: str, validation_share: float = 0.18, negatives: float = 1.0) -> Config:
+def train(
+    spark: SparkSession, linkage: Linkage, truth: DataFrame, cutoffs: list[int], model_path: str, validation_share: float = 0.18, negatives: float = 1.0, rounds: int = model.ROUNDS
+) -> Config:
     """Fit trees on the entities outside the validation share, sweep on the others and save the model.
 
     The configuration with the chosen cutoff and threshold goes to inference.
     """
     known = labels.known_truth(truth, linkage.s1, linkage.pool)
     held = labels.sample_ids(linkage.s1, validation_share)
-    sampled = labels.sample_negatives(labels.label(linkage.features, known), held, negatives)
-    fitted = model.fit(sampled.where("is_val = 0").drop("is_val"))
+    sampled = labels.sample_negatives(labels.label(linkage.features, known), held, negatives).persist()
+    fitted = model.fit(sampled.where("is_val = 0").drop("is_val"), rounds)
     model.save(fitted, model_path)
     scored = model.predict(fitted, sampled.where("is_val = 1").drop("is_val"))
-    population = linkage.s1.join(held, "entity_id", "left_semi")
-    own = known.join(held.withColumnRenamed("entity_id", "s1_id"), "s1_id", "left_semi")
-    best = evaluate.choose(evaluate.sweep(population, scored, own, cutoffs)).first()
+    degrees = labels.degrees(held, known)
+    best = evaluate.choose(evaluate.sweep(degrees, scored, cutoffs)).first()
+    sampled.unpersist()
     return Config(linkage.config.caps, linkage.config.max_candidates, best["topk"], linkage.config.proxy, best["threshold"])
 
 
@@ -138,9 +174,10 @@ def main(argv: list[str] | None = None) -> int:
     p.add_argument("--model", help="a saved model; the rule without")
     p.add_argument("--threshold", type=float)
     p.add_argument("--s1-limit", type=int, default=0)
+    p.add_argument("--single", action="store_true", help="each result as one file, not a folder of parts")
     a = p.parse_args(argv)
     spark = SparkSession.builder.config("spark.sql.adaptive.enabled", "true").getOrCreate()
-    config = Config.of(src.read_config(a.config)) if a.config else Config()
+    config = Config.of(src.read_config(spark, a.config)) if a.config else Config()
     if a.threshold is not None:
         config = Config(config.caps, config.max_candidates, config.topk, config.proxy, a.threshold)
     s1 = src.head(src.read_tsv(spark, a.s1), "entity_id", a.s1_limit)
@@ -152,16 +189,17 @@ def main(argv: list[str] | None = None) -> int:
         src.write_parquet(table, path)
         return spark.read.parquet(path).count()
 
-    run_stage(f"{a.work}/scored", a.work, "scored", settings, build)
+    run_stage(spark, f"{a.work}/scored", a.work, "scored", settings, build)
     table = src.read_parquet(spark, f"{a.work}/scored")
     matching = src.result_lists(run.s1, model.matches(table, config.threshold, config.topk), "matched_entity_ids")
     candidate = src.result_lists(run.s1, table, "candidate_entity_ids")
-    src.write_tsv(matching, f"{a.out}/matching_results.tsv", single=True)
-    src.write_tsv(candidate, f"{a.out}/candidate_pairs.tsv", single=True)
+    src.write_tsv(matching, f"{a.out}/matching_results.tsv", a.single)
+    src.write_tsv(candidate, f"{a.out}/candidate_pairs.tsv", a.single)
     problems = quality.validate(matching, candidate, run.s1, run.pool).collect()
+    run.unpersist()
     for row in problems:
         print(row["severity"], row["rule"], row["n"], row["examples"])
-    return int(bool(problems))
+    return int(any(row["severity"] == "error" for row in problems))
 
 
 if __name__ == "__main__":

@@ -8,19 +8,15 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from kinweave.functions import textnorm as tn
-from kinweave.functions.scores import hash_uniform
 from kinweave.operators import blocking, evaluate, features, labels, model, quality, similarity
 from kinweave.plans.linkage import Config, Linkage
 from kinweave.sources import entities as src
 
-#: Caps that bite on the small test tables.
-CONFIG = Config(blocking.Caps(t=50, a=100, sn=100, fn=1000, c3=200), max_candidates=200, topk=50, proxy="mean")
-#: The operators' own caps, for the queries named ..._whole and for those that no SQL is held against.
-WHOLE = Config(topk=50, proxy="mean")
+#: The operators' own caps, and the shipped cutoff and proxy.
+CONFIG = Config(topk=50, proxy="mean")
 CUTOFFS = [5, 10, 20, 50]
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
-_PLANS: dict[str, Callable] = {}
 
 _SFX = "|".join(tn.SUFFIXES)
 _CAP = "CASE family " + " ".join(f"WHEN '{f}' THEN {getattr(CONFIG.caps, f)}" for f in blocking.WEIGHTS) + " END"
@@ -55,6 +51,16 @@ def _f_half(p: str, t: str, h: str) -> str:
     return f"CASE WHEN {p} = 0 AND {t} = 0 THEN 1.0 WHEN {below} > 0 THEN 1.25 * {pr} * {rc} / {below} ELSE 0.0 END"
 
 
+#: Accented letters of the test data, and signs of one byte that stand for them where DuckDB counts bytes.
+_ACCENTED = "ÄÇÈÉÊÍÑÓÖÜßäçèéêíñóöüÁÚáúÀà"
+_ONE_BYTE = "".join(map(chr, [*range(1, 9), *range(14, 32), 127]))
+
+
+def _plain(c: str) -> str:
+    signs = " || ".join(f"chr({ord(c)})" for c in _ONE_BYTE)
+    return f"translate({c}, '{_ACCENTED}', {signs})"
+
+
 def _lev(a: str, b: str) -> str:
     return f"CASE WHEN greatest(length({a}), length({b})) = 0 THEN 1.0 ELSE 1 - levenshtein({a}, {b})::DOUBLE / greatest(length({a}), length({b})) END"
 
@@ -180,16 +186,11 @@ results AS (
 """
 
 
-def _under(f: Callable, config: Config) -> Callable[[SparkSession, str], DataFrame]:
-    return lambda spark, sf_dir: f(Linkage.from_documents(spark, sf_dir, config), spark, sf_dir)
-
-
 def query(sql: str | None = None) -> Callable:
     """Register a function of (linkage, spark, sf_dir) under its name, with the last step of its oracle."""
 
     def register(f: Callable) -> Callable:
-        _PLANS[f.__name__] = f
-        QUERIES[f.__name__] = _under(f, WHOLE if sql is None else CONFIG)
+        QUERIES[f.__name__] = lambda spark, sf_dir: f(Linkage.from_documents(spark, sf_dir, CONFIG), spark, sf_dir)
         if sql is not None:
             ORACLE_SQL[f.__name__] = _STEPS + sql
         return f
@@ -205,10 +206,29 @@ def _vector() -> list[Column]:
     return [F.col(c) if c in ("token_overlap_count", "missing_address_flag") else F.round(c, 6).alias(c) for c in features.FEATURES]
 
 
-@query(f"SELECT doc_id, {_norm('text')} AS norm, NOT regexp_matches(text, '[^\\x00-\\x7F]') AS is_ascii FROM documents WHERE text IS NOT NULL")
+@query(f"SELECT doc_id, coalesce({_norm('text')}, '') AS norm, NOT regexp_matches(coalesce(text, ''), '[^\\x00-\\x7F]') AS is_ascii FROM documents")
 def norm_text_documents(run, spark, sf_dir):
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").where("text is not null")
-    return docs.select("doc_id", tn.norm_text(F.col("text")).alias("norm"), F.col("text").rlike("^[\\x00-\\x7F]*$").alias("is_ascii"))
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    return docs.select("doc_id", tn.norm_text(F.col("text")).alias("norm"), (~F.coalesce("text", F.lit("")).rlike("[^\\x00-\\x7F]")).alias("is_ascii"))
+
+
+#: Words of the nine scripts with their readings, letter by letter, as the test tables have none.
+INDIC_NAMES = {
+    "नीला कमल १२": "niilaa kml 12",
+    "પાની ૪૨": "paanii 42",
+    "மரம் வீடு": "mrm viitu",
+    "నీరు చెరువు": "niiru cheruvu",
+    "ಮನೆ ಕಾಡು": "mne kaadu",
+    "മഴ പൂവ്": "ml puuv",
+    "ଜଳ ଫୁଲ": "jl phul",
+    "ਘਰ ਸੜਕ": "ghr srk",
+    "আলো মেঘ": "aalo megh",
+}
+
+
+@query("SELECT * FROM (VALUES " + ", ".join(f"('{k}', '{v}')" for k, v in INDIC_NAMES.items()) + ") names(name, norm)")
+def indic_names(run, spark, sf_dir):
+    return spark.createDataFrame([(k,) for k in INDIC_NAMES], "name string").select("name", tn.norm_text(F.col("name")).alias("norm"))
 
 
 @query("SELECT entity_id, name_n, name_s FROM norm")
@@ -227,10 +247,15 @@ def street_numbers(run, spark, sf_dir):
     return run.s1.unionByName(run.pool).where("stno <> ''").select("entity_id", "stno")
 
 
-@query("SELECT src, entity_id, business_name, business_address, country, name_n, name_s, name_t, name_nt, addr_n, addr_t, stno FROM norm ORDER BY entity_id LIMIT 500")
+@query("SELECT src, entity_id, business_name, business_address, country, name_n, name_s, name_t, name_nt, addr_n, addr_t, stno FROM norm")
 def prep_entities(run, spark, sf_dir):
-    every = run.s1.unionByName(run.pool).drop("h")
-    return src.head(every, "entity_id", 500)
+    return run.s1.unionByName(run.pool).drop("h")
+
+
+@query("SELECT entity_id, business_name FROM s1 ORDER BY entity_id LIMIT 500")
+def first_entities(run, spark, sf_dir):
+    """The limit on S1 rows, which is the feature."""
+    return src.head(run.s1, "entity_id", 500).select("entity_id", "business_name")
 
 
 @query("SELECT src, count(*) AS n, count(DISTINCT entity_id) AS ids FROM pool GROUP BY src")
@@ -316,23 +341,13 @@ def features_address(run, spark, sf_dir):
 
 
 @query(
-    f"SELECT s1_id, cand_id, round({_lev('x.business_name', 'y.business_name')}, 6) AS lev_name_raw, round({_lev('x.name_n', 'y.name_n')}, 6) AS lev_name_norm, "
+    f"SELECT s1_id, cand_id, round({_lev('x_name', 'y_name')}, 6) AS lev_name_raw, round({_lev('x.name_n', 'y.name_n')}, 6) AS lev_name_norm, "
     f"round({_lev('x.name_s', 'y.name_s')}, 6) AS lev_name_strip, CASE WHEN both_addr THEN round({_lev('x.addr_n', 'y.addr_n')}, 6) END AS lev_addr, "
     f"round(CASE WHEN both_addr THEN ({_lev('x.name_s', 'y.name_s')} + {_lev('x.addr_n', 'y.addr_n')}) / 2 ELSE {_lev('x.name_s', 'y.name_s')} END, 6) AS lev_proxy "
-    "FROM (SELECT s1_id, cand_id, both_addr, x, y FROM ranked WHERE cand_rank < 10) WHERE NOT regexp_matches(x.business_name || y.business_name, '[^\\x00-\\x7F]')"
+    f"FROM (SELECT *, {_plain('x.business_name')} AS x_name, {_plain('y.business_name')} AS y_name FROM ranked)"
 )
 def levenshtein_features(run, spark, sf_dir):
-    """Pairs of names without accents only: DuckDB's distance counts bytes, Spark's characters."""
-    plain = lambda c: ~F.col(c).rlike("[^\\x00-\\x7F]")
-    rows = features.edit_features(run.ranked.where("cand_rank < 10")).where(plain("business_name_1") & plain("business_name_2"))
-    return rows.select("s1_id", "cand_id", *_six("lev_name_raw", "lev_name_norm", "lev_name_strip", "lev_addr", "lev_proxy"))
-
-
-@query()
-def levenshtein_features_whole(run, spark, sf_dir):
-    """All ranked pairs, accents or not; distances count characters, so no SQL is held against them."""
-    rows = features.edit_features(run.ranked)
-    return rows.select("s1_id", "cand_id", *_six("lev_name_raw", "lev_name_norm", "lev_name_strip", "lev_addr", "lev_proxy"))
+    return features.edit_features(run.sides).select("s1_id", "cand_id", *_six("lev_name_raw", "lev_name_norm", "lev_name_strip", "lev_addr", "lev_proxy"))
 
 
 @query("SELECT s1_id, cand_id FROM truth")
@@ -343,7 +358,7 @@ def truth_pairs(run, spark, sf_dir):
 
 @query("SELECT least(n_true, 4)::BIGINT AS degree, count(*) AS n FROM degree GROUP BY 1")
 def degree_histogram(run, spark, sf_dir):
-    return labels.degrees(run.s1, run.truth).groupBy(F.least("degree", F.lit(4)).cast("long").alias("degree")).agg(F.count("*").alias("n"))
+    return run.degrees.groupBy(F.least("degree", F.lit(4)).cast("long").alias("degree")).agg(F.count("*").alias("n"))
 
 
 @query("SELECT s1_id, cand_id, cand_rank, is_match FROM lab")
@@ -366,7 +381,7 @@ def negative_sample(run, spark, sf_dir):
 def validation_split(run, spark, sf_dir):
     held = labels.sample_ids(run.s1, 0.18)
     rest = run.s1.select("entity_id").join(held, "entity_id", "left_anti")
-    part = F.when(hash_uniform(F.col("entity_id"), 1) < 0.1, "stopping").otherwise("training")
+    part = F.when(model.stopping(F.col("entity_id")), "stopping").otherwise("training")
     return held.withColumn("part", F.lit("validation")).unionByName(rest.withColumn("part", part))
 
 
@@ -381,7 +396,7 @@ def hash_sample(run, spark, sf_dir):
                ceil(count(*) OVER (PARTITION BY least(n_true, 4)) * 100.0 / count(*) OVER ()) AS quota FROM degree) WHERE k <= quota"""
 )
 def stratified_split(run, spark, sf_dir):
-    rows = labels.stratified_halves(run.s1, run.truth, 100)
+    rows = labels.stratified_halves(run.degrees, 100)
     return rows.withColumn("stratum", F.col("stratum").cast("int"))
 
 
@@ -397,30 +412,30 @@ def rule_scored_matches(run, spark, sf_dir):
 
 @query("SELECT entity_id, n_pred, n_true, tp, round(f05, 6) AS f05 FROM f")
 def entity_f05(run, spark, sf_dir):
-    counts = evaluate.entity_counts(run.s1, run.matches.select("s1_id", "cand_id"), run.truth)
+    counts = evaluate.entity_counts(run.degrees, run.matches)
     return evaluate.entity_f(counts).select("entity_id", "n_pred", "n_true", "tp", *_six("f05"))
 
 
 @query("SELECT round(avg(f05), 6) AS macro_f05, count(*) AS entities FROM f")
 def macro_f05(run, spark, sf_dir):
-    counts = evaluate.entity_counts(run.s1, run.matches.select("s1_id", "cand_id"), run.truth)
+    counts = evaluate.entity_counts(run.degrees, run.matches)
     return evaluate.macro_f(counts).select(*_six("macro_f05"), "entities")
 
 
 @query("SELECT bucket, round(avg(f05), 6) AS macro_f05, count(*) AS entities FROM f GROUP BY bucket")
 def bucket_f05(run, spark, sf_dir):
-    counts = evaluate.entity_counts(run.s1, run.matches.select("s1_id", "cand_id"), run.truth)
+    counts = evaluate.entity_counts(run.degrees, run.matches)
     return evaluate.bucket_f(counts).select("bucket", *_six("macro_f05"), "entities")
 
 
 @query("SELECT threshold::DOUBLE AS threshold, round(macro_f05, 6) AS macro_f05 FROM swept WHERE topk = 50")
 def threshold_sweep(run, spark, sf_dir):
-    return evaluate.sweep(run.s1, run.scored, run.truth, [50]).select("threshold", *_six("macro_f05"))
+    return evaluate.sweep(run.degrees, run.scored, [50]).select("threshold", *_six("macro_f05"))
 
 
 @query("SELECT topk::INTEGER AS topk, threshold::DOUBLE AS threshold, round(macro_f05, 6) AS macro_f05, round(avg_candidates_per_s1, 6) AS avg_candidates_per_s1, round(candidate_recall, 6) AS candidate_recall FROM swept")
 def cutoff_threshold_sweep(run, spark, sf_dir):
-    return evaluate.sweep(run.s1, run.scored, run.truth, CUTOFFS).select("topk", "threshold", *_six("macro_f05", "avg_candidates_per_s1", "candidate_recall"))
+    return evaluate.sweep(run.degrees, run.scored, CUTOFFS).select("topk", "threshold", *_six("macro_f05", "avg_candidates_per_s1", "candidate_recall"))
 
 
 @query(
@@ -428,7 +443,7 @@ def cutoff_threshold_sweep(run, spark, sf_dir):
     "ORDER BY avg_candidates_per_s1, candidate_recall DESC, round(macro_f05, 9) DESC, topk, threshold LIMIT 1"
 )
 def operating_point(run, spark, sf_dir):
-    table = evaluate.sweep(run.s1, run.scored, run.truth, CUTOFFS).withColumn("macro_f05", F.round("macro_f05", 9))
+    table = evaluate.sweep(run.degrees, run.scored, CUTOFFS).withColumn("macro_f05", F.round("macro_f05", 9))
     return evaluate.choose(table).select("topk", "threshold", *_six("macro_f05"))
 
 
@@ -438,7 +453,7 @@ def operating_point(run, spark, sf_dir):
     "(SELECT count(*) AS true_pairs FROM truth), (SELECT count(*) AS n1 FROM s1), (SELECT count(*) AS n2 FROM pool)"
 )
 def blocking_recall(run, spark, sf_dir):
-    return evaluate.blocking_recall(run.s1, run.pool, run.candidates, run.truth).select("pairs", "hits", "true_pairs", *_six("recall", "pairs_per_s1", "share_of_naive"))
+    return evaluate.blocking_recall(run.pool, run.labelled_candidates, run.degrees).select("pairs", "hits", "true_pairs", *_six("recall", "pairs_per_s1", "share_of_naive"))
 
 
 @query(
@@ -446,7 +461,7 @@ def blocking_recall(run, spark, sf_dir):
     f"round(hits::DOUBLE / (SELECT count(*) FROM truth), 6) AS recall FROM lab, unnest({CUTOFFS}) a(k) GROUP BY k"
 )
 def recall_at_k(run, spark, sf_dir):
-    return evaluate.recall_at(run.ranked.select("s1_id", "cand_id", "cand_rank"), run.truth, CUTOFFS).select("topk", "kept", "hits", *_six("recall"))
+    return evaluate.recall_at(run.labelled, run.degrees, CUTOFFS).select("topk", "kept", "hits", *_six("recall"))
 
 
 @query(
@@ -473,8 +488,7 @@ def adversarial_gate(run, spark, sf_dir):
     f"SELECT {_jaccard('r1', 'r2')} AS r, {_jaccard('t1', 't2')} AS n FROM sets JOIN truth USING (s1_id, cand_id))"
 )
 def normalization_gain(run, spark, sf_dir):
-    true = run.ranked.join(run.truth, ["s1_id", "cand_id"], "left_semi")
-    sides = true.select(*[F.col(f"business_name_{n}") for n in (1, 2)], *[F.array_join(f"t_bag_{n}", " ").alias(f"name_t_{n}") for n in (1, 2)])
+    sides = run.labelled_sides.where("is_match = 1").select(*[F.col(f"business_name_{n}") for n in (1, 2)], *[F.array_join(f"t_bag_{n}", " ").alias(f"name_t_{n}") for n in (1, 2)])
     return quality.normalization_gain(sides).select("pairs", *_six("raw_sum", "norm_sum"), "improved_or_equal")
 
 
@@ -574,15 +588,5 @@ def set_fingerprint(run, spark, sf_dir):
 def gbt_scored_pairs(run, spark, sf_dir):
     """Boosted trees fitted on the training entities, scoring the validation entities' pairs."""
     sampled = labels.sample_negatives(run.labelled, labels.sample_ids(run.s1, 0.18), 1.0).persist()
-    fitted = model.fit(sampled.where("is_val = 0").drop("is_val"), rounds=model.ROUNDS, tolerance=0.0)
+    fitted = model.fit(sampled.where("is_val = 0").drop("is_val"))
     return model.predict(fitted, sampled.where("is_val = 1").drop("is_val")).select("s1_id", "cand_id", "is_match", "proba")
-
-
-#: Queries whose result depends on the key caps or the number of candidates. Their SQL holds CONFIG's values, so each has a second form under WHOLE.
-CAPPED = [
-    "allowed_keys", "candidate_union_plain", "candidate_evidence", "candidate_prefilter", "pair_cosine", "proxy_topk_mean", "proxy_topk_max",
-    "features_full", "features_name", "features_address", "labelled_pairs", "negative_sample", "class_weight", "rule_scored_matches",
-    "entity_f05", "macro_f05", "bucket_f05", "threshold_sweep", "cutoff_threshold_sweep", "operating_point", "blocking_recall", "recall_at_k",
-    "feature_medians", "adversarial_gate", "normalization_gain", "matching_results", "candidate_pairs", "validate_results", "subset_violations", "set_fingerprint",
-]
-QUERIES |= {f"{name}_whole": _under(_PLANS[name], WHOLE) for name in CAPPED}

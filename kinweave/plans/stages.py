@@ -1,67 +1,59 @@
-"""Stages that are skipped when their output is complete, by a manifest beside it.
-
-Local and mounted folders only: paths are those of the driver.
-"""
+"""Stages that are skipped when their output is complete, by a manifest beside it, in any store that Spark reaches."""
 
 from __future__ import annotations
 
-import hashlib
 import json
-import shutil
 from collections.abc import Callable
-from pathlib import Path
 
-from kinweave.sources.entities import write_config
+from py4j.protocol import Py4JJavaError
+from pyspark.sql import SparkSession
+
+from kinweave.sources.store import Store
 
 MANIFEST = "_manifest.json"
 
 
-def guarded(path: str | Path, root: str | Path) -> Path:
-    """The absolute path, which must lie inside ``root``."""
-    full, top = Path(path).resolve(), Path(root).resolve()
-    if full == top or top not in full.parents:
+def guarded(store: Store, path: str, root: str) -> str:
+    """The full path, which must lie inside ``root``."""
+    full, top = store.full(path), store.full(root).rstrip("/") + "/"
+    if not full.startswith(top):
         raise ValueError(f"{full} is not inside {top}")
     return full
 
 
-def _files(path: Path) -> list[dict]:
-    held = sorted(p for p in path.rglob("*") if p.is_file() and p.name != MANIFEST and not p.name.startswith(("_", ".")))
-    return [{"name": p.name, "path": str(p.relative_to(path)), "bytes": p.stat().st_size} for p in held]
-
+def _files(store: Store, path: str) -> list[dict]:
+    held = {k: n for k, n in store.sizes(path).items() if not k.rsplit("/", 1)[-1].startswith(("_", "."))}
+    return [{"name": k.rsplit("/", 1)[-1], "path": k, "bytes": held[k]} for k in sorted(held)]
 
-def sha256(path: str | Path) -> str:
-    with open(path, "rb") as f:
-        return hashlib.file_digest(f, "sha256").hexdigest()
 
-
-def complete(path: str | Path, stage: str, config: dict) -> bool:
+def complete(store: Store, path: str, stage: str, config: dict) -> bool:
     """Whether a finished output of this stage and configuration is there, with every file at its recorded size."""
-    path = Path(path)
+    if not store.exists(f"{path}/{MANIFEST}"):
+        return False
     try:
-        held = json.loads((path / MANIFEST).read_text(encoding="utf-8"))
-    except (OSError, ValueError):
+        held = json.loads(store.read(f"{path}/{MANIFEST}"))
+    except (ValueError, Py4JJavaError):  # no JSON, or bytes that fail the store's checksum
         return False
     same = held.get("complete") is True and held.get("stage") == stage and held.get("config") == json.loads(json.dumps(config))
-    return bool(same and held.get("files") and held["files"] == _files(path))
+    return bool(same and held.get("files") and held["files"] == _files(store, path))
 
 
-def finish(path: str | Path, stage: str, config: dict, rows: int) -> dict:
+def finish(store: Store, path: str, stage: str, config: dict, rows: int) -> dict:
     """Write the manifest at once; a missing or empty output is an error."""
-    path = Path(path)
-    files = _files(path) if path.is_dir() else []
-    if not files or not sum(f["bytes"] for f in files):
+    files = _files(store, path)
+    if not sum(f["bytes"] for f in files):
         raise ValueError(f"{path} has no output")
     held = {"stage": stage, "config": config, "total_rows": rows, "files": files, "complete": True}
-    write_config(str(path / MANIFEST), held)
+    store.write(f"{path}/{MANIFEST}", json.dumps(held, sort_keys=True))
     return held
 
 
-def run_stage(path: str | Path, root: str | Path, stage: str, config: dict, build: Callable[[str], int]) -> bool:
+def run_stage(spark: SparkSession, path: str, root: str, stage: str, config: dict, build: Callable[[str], int]) -> bool:
     """Build the output unless it is complete; says whether it was built. An unfinished or other output is removed before."""
-    full = guarded(path, root)
-    if complete(full, stage, config):
+    store = Store(spark)
+    full = guarded(store, path, root)
+    if complete(store, full, stage, config):
         return False
-    shutil.rmtree(full, ignore_errors=True)
-    rows = build(str(full))
-    finish(full, stage, config, rows)
+    store.remove(full)
+    finish(store, full, stage, config, build(full))
     return True

@@ -3,14 +3,14 @@
 from __future__ import annotations
 
 import json
-import os
 from collections.abc import Mapping
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 from kinweave.functions import textnorm as tn
+from kinweave.sources.store import Store
 
 RECORD = StructType([StructField(c, StringType()) for c in ("entity_id", "business_name", "business_address", "country")])
 TRUTH = StructType([StructField(c, StringType()) for c in ("source1_entity_id", "matched_entity_ids")])
@@ -94,23 +94,53 @@ def result_lists(population: DataFrame, pairs: DataFrame, name: str) -> DataFram
 
 
 def write_tsv(df: DataFrame, path: str, single: bool = False) -> None:
-    """Tab-separated UTF-8 with a header and line feeds; ``single`` asks for one part."""
-    (df.coalesce(1) if single else df).write.mode("overwrite").csv(path, sep="\t", header=True, lineSep="\n", emptyValue="", quote="")
+    """Tab-separated UTF-8 with a header and line feeds: a folder of parts, or one file if ``single``.
+
+    Either way the parts are written in parallel; one file is then put together from them by a stream through
+    the driver, in their order.
+    """
+    written = lambda to, header: df.write.mode("overwrite").csv(to, sep="\t", header=header, lineSep="\n", emptyValue="", quote="")
+    if not single:
+        written(path, True)
+        return
+    store = Store(df.sparkSession)
+    written(f"{path}.parts", False)
+    store.join(f"{path}.parts", path, "\t".join(df.columns))
+    store.remove(f"{path}.parts")
 
 
 def write_parquet(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").parquet(path)
 
 
-def write_config(path: str, config: Mapping) -> None:
-    held = f"{path}.part"
-    with open(held, "w", encoding="utf-8") as f:
-        json.dump(dict(config), f, sort_keys=True)
-        f.flush()
-        os.fsync(f.fileno())
-    os.replace(held, path)
+def write_config(spark: SparkSession, path: str, config: Mapping) -> None:
+    Store(spark).write(path, json.dumps(dict(config), sort_keys=True))
+
+
+def read_config(spark: SparkSession, path: str) -> dict:
+    return json.loads(Store(spark).read(path))
 
 
-def read_config(path: str) -> dict:
-    with open(path, encoding="utf-8") as f:
-        return json.load(f)
+def dataset(spark: SparkSession, root: str, split: str) -> dict[str, str]:
+    """Paths of a split ("train" or "test"): s1, s2, s3 and, if it is there, truth. Files lie in ``root`` or in a folder of the split's name below."""
+    store = Store(spark)
+    for base in (f"{root}/{split}", root):
+        if store.exists(f"{base}/{split}_source1.tsv"):
+            found = {f"s{n}": f"{base}/{split}_source{n}.tsv" for n in (1, 2, 3)}
+            truth = f"{base}/{split}_ground_truth.tsv"
+            return found | ({"truth": truth} if store.exists(truth) else {})
+    raise FileNotFoundError(f"no {split}_source1.tsv in {root} or {root}/{split}")
+
+
+def numbered_lines(spark: SparkSession, path: str) -> DataFrame:
+    """(number, value) of a text file's lines, or of a folder's files in the order of their names, from 0.
+
+    Lines are numbered inside the blocks that Spark reads; the driver sees nothing, and only one row a block is ordered in one task.
+    """
+    meta = F.col("_metadata")
+    lines = spark.read.text(path).select("value", meta["file_path"].alias("file"), meta["file_block_start"].alias("block"), F.monotonically_increasing_id().alias("id"))
+    block = ["file", "block"]
+    sizes = lines.groupBy(*block).agg(F.count("*").alias("lines"))
+    before = F.coalesce(F.sum("lines").over(Window.orderBy(*block).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    inside = F.row_number().over(Window.partitionBy(*block).orderBy("id"))
+    return lines.withColumn("k", inside).join(sizes.select(*block, before.alias("before")), block).select((F.col("before") + F.col("k") - 1).alias("number"), "value")
