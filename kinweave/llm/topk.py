@@ -14,11 +14,11 @@ BLOCKS, BLOCK_ROWS, QUERY_ROWS = 64, 1 << 18, 1 << 16
 #: Queries and candidates compared at once inside a task.
 QUERY_BLOCK, ROW_BLOCK = 512, 4096
 #: Segments of a vector at each resolution.
-RESOLUTIONS = (4, 8, 16)
+RESOLUTIONS = (4, 8, 16, 32)
 #: A resolution that spares less than this share of pairs is tried on one in so many blocks only, as it costs more than it spares.
 WORTH, RETRY = 0.1, 8
 #: Survivors above this share of a block are computed by one matrix product.
-DENSE = 0.1
+DENSE = 0.5
 #: Largest sum that doubles hold exactly.
 EXACT = 2.0**53
 
@@ -70,7 +70,7 @@ class Search:
     """Running best k of each query over blocks of candidates.
 
     ``floor`` has for each query a score that k candidates are known to reach (-inf: none known).
-    ``computed`` and ``pairs`` count the pairs computed exactly and all pairs.
+    ``computed`` and ``pairs`` count the products computed exactly and all of them.
     """
 
     def __init__(self, ids: np.ndarray, vectors: np.ndarray, k: int, floor: np.ndarray | None = None):
@@ -90,7 +90,7 @@ class Search:
         for lo in range(0, len(self.ids), QUERY_BLOCK):
             at = slice(lo, lo + QUERY_BLOCK)
             alive = self.ids[at, None] != ids[None, :]
-            self.pairs += int(alive.sum())
+            self.pairs += alive.size
             for i in wanted:
                 before = alive.mean()
                 bound = self.levels[i][at] @ levels[i].T
@@ -103,8 +103,8 @@ class Search:
 
     def _settle(self, at: slice, ids: np.ndarray, x: np.ndarray, alive: np.ndarray) -> None:
         """Compute the survivors exactly and keep the best."""
-        self.computed += int(alive.sum())
         scores = _exact(self.q[at], x) if alive.mean() > DENSE else None
+        self.computed += alive.size if scores is not None else int(alive.sum())
         for i in np.flatnonzero(alive.any(axis=1)).tolist():
             j = at.start + i
             rows = np.flatnonzero(alive[i]) if scores is None else np.flatnonzero(alive[i] & (scores[i] >= self.least[j]))
