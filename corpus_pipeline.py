@@ -8,8 +8,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from kinweave.llm import packing, pii, quality, simhash
+from kinweave.llm.common import shared_path
+from kinweave.sources.store import Store
 
-#: SQL cannot express trained dictionaries, XXH64 or tokenizer files; tests hold the stages against brute force.
+#: SQL cannot express trained dictionaries or tokenizer files; a test holds the pipeline against plain stages.
 ORACLE_SQL = None
 
 
@@ -19,7 +21,7 @@ def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keep one document of each SimHash component."""
+    """Keep one document of each group of near copies."""
     return simhash.keep_one(docs)
 
 
@@ -42,12 +44,16 @@ STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] =
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Apply all stages to the documents; each stage's result is written to the shared folder and read again."""
-    from kinweave.llm.common import shared_path
+    """Apply all stages to the documents; each stage's result is written to the shared folder and read again.
 
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    A stage's table goes when the next one's is written; the last of them stays, as the result reads it. An empty table gives no rows.
+    """
+    docs, before = spark.read.parquet(f"{sf_dir}/documents.parquet"), None
     for name, stage in STAGES[:-1]:
         path = shared_path(spark, name)
         stage(spark, docs, sf_dir).write.parquet(path)
         docs = spark.read.parquet(path)
+        if before:
+            Store(spark).remove(before)
+        before = path
     return STAGES[-1][1](spark, docs, sf_dir)
