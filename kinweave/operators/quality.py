@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from kinweave.functions import textnorm as tn
@@ -89,34 +89,44 @@ def validate(matching: DataFrame, candidate: DataFrame, s1: DataFrame, pool: Dat
     ``pool``), missing_entity, extra_entity; and subset, a match that is no candidate, a warning. Only
     violated rules have a row.
     """
-    population = s1.select(F.col("entity_id").alias("source1_entity_id"))
-    matching, candidate = matching.persist(), candidate.persist()  # each is read by every rule
-    problems = []
-    flat = {}
-    for name, df, column in (("matching", matching, "matched_entity_ids"), ("candidate", candidate, "candidate_entity_ids")):
+    lists = {"matching": (matching.persist(), "matched_entity_ids"), "candidate": (candidate.persist(), "candidate_entity_ids")}  # read by rows and by ids
+    source = F.col("source1_entity_id")
+    count = lambda name: [F.lit(int(n == name)).cast("long").alias(n) for n in (*lists, "known")]
+    summed = [F.sum(n).alias(n) for n in (*lists, "known")]
+    listed = [df.select(source, *count(name)) for name, (df, _) in lists.items()]
+    by_source = reduce(DataFrame.unionByName, [*listed, s1.select(F.col("entity_id").alias("source1_entity_id"), *count("known"))]).groupBy(source).agg(*summed)
+    flat = []
+    for name, (df, column) in lists.items():
         ids = F.filter(F.split(F.coalesce(column, F.lit("")), ","), lambda i: F.trim(i) != "")
-        rows = df.select("source1_entity_id", F.explode(ids).alias("id")).withColumn("id", F.trim("id"))
-        flat[name] = rows
-        pair = F.concat_ws(">", "source1_entity_id", "id")
-
-        def found(rule: str, what: DataFrame, column=None, name=name) -> None:
-            problems.append(what.select(F.lit(f"{name}_{rule}").alias("rule"), F.lit("error").alias("severity"), (column if column is not None else F.col("source1_entity_id")).alias("item")))
-
-        found("duplicate_row", df.groupBy("source1_entity_id").count().where("count > 1"))
-        found("duplicate_id", rows.groupBy("source1_entity_id", "id").count().where("count > 1"), pair)
-        found("self_match", rows.where(F.col("id").startswith("S1-")), pair)
-        found("wrong_prefix", rows.where(~(F.col("id").startswith("S1-") | reduce(lambda a, b: a | b, [F.col("id").startswith(p) for p in PREFIXES]))), pair)
-        if pool is not None:
-            found("unknown_id", rows.join(pool.select(F.col("entity_id").alias("id")), "id", "left_anti"), pair)
-        found("missing_entity", population.join(df, "source1_entity_id", "left_anti"))
-        found("extra_entity", df.join(population, "source1_entity_id", "left_anti"))
-    outside = flat["matching"].join(flat["candidate"], ["source1_entity_id", "id"], "left_anti")
-    problems.append(outside.select(F.lit("subset").alias("rule"), F.lit("warning").alias("severity"), F.concat_ws(">", "source1_entity_id", "id").alias("item")))
-    every = reduce(DataFrame.unionByName, problems).persist()
+        flat.append(df.select(source, F.explode(ids).alias("id"), *count(name)).withColumn("id", F.trim("id")))
+    by_pair = reduce(DataFrame.unionByName, flat).groupBy(source, "id").agg(*summed)
+    if pool is not None:
+        by_pair = by_pair.drop("known").join(pool.select(F.col("entity_id").alias("id"), F.lit(1).alias("known")).distinct(), "id", "left")
+
+    def found(df: DataFrame, item: Column, rules: list[tuple[str, str, Column]]) -> DataFrame:
+        """One row per violated rule of each row: how often the item counts, 0 or null for not at all."""
+        each = F.array(*[F.struct(F.lit(rule).alias("rule"), F.lit(severity).alias("severity"), n.cast("long").alias("n")) for rule, severity, n in rules])
+        return df.select(item.alias("item"), F.explode(F.filter(each, lambda r: r["n"] > 0)).alias("r")).select("r.rule", "r.severity", "item", "r.n")
+
+    rows, pairs = [], []
+    own = F.col("id").startswith("S1-")
+    prefixed = own | reduce(lambda a, b: a | b, [F.col("id").startswith(p) for p in PREFIXES])
+    for name in lists:
+        n = F.col(name)
+        rows += [(f"{name}_{rule}", "error", F.when(where, times)) for rule, where, times in (
+            ("duplicate_row", n > 1, F.lit(1)), ("missing_entity", n == 0, F.col("known")), ("extra_entity", F.col("known") == 0, n),
+        )]
+        pairs += [(f"{name}_{rule}", "error", F.when(where, times)) for rule, where, times in (
+            ("duplicate_id", n > 1, F.lit(1)), ("self_match", own, n), ("wrong_prefix", ~prefixed, n), ("unknown_id", F.lit(pool is not None) & F.col("known").isNull(), n),
+        )]
+    pairs.append(("subset", "warning", F.when(F.col("candidate") == 0, F.col("matching"))))
+    every = found(by_source, source, rows).unionByName(found(by_pair, F.concat_ws(">", source, F.col("id")), pairs)).persist()
     order = Window.partitionBy("rule", "severity").orderBy("item")
     first = every.withColumn("k", F.row_number().over(order)).where(F.col("k") <= examples)
-    shown = first.groupBy("rule", "severity").agg(F.array_join(F.array_sort(F.collect_list("item")), ",").alias("examples"))
-    return every.groupBy("rule", "severity").agg(F.count("*").alias("n")).join(shown, ["rule", "severity"])
+    item = F.struct("item", F.least("n", F.lit(examples)).cast("int").alias("n"))
+    repeated = F.flatten(F.transform(F.array_sort(F.collect_list(item)), lambda x: F.array_repeat(x["item"], x["n"])))
+    shown = first.groupBy("rule", "severity").agg(F.array_join(F.slice(repeated, 1, examples), ",").alias("examples"))
+    return every.groupBy("rule", "severity").agg(F.sum("n").alias("n")).join(shown, ["rule", "severity"])
 
 
 def order_errors(matching: DataFrame, candidate: DataFrame, examples: int = 5) -> DataFrame:
