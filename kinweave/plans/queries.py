@@ -322,7 +322,7 @@ def proxy_topk_mean(run, spark, sf_dir):
     "FROM (SELECT *, round(greatest(name_cos, CASE WHEN both_addr THEN acos ELSE name_cos END), 9) AS p FROM pairs) QUALIFY cand_rank < 10"
 )
 def proxy_topk_max(run, spark, sf_dir):
-    return similarity.rank_by_proxy(run.pairs, "max", 10).select("s1_id", "cand_id", *_six("proxy"), "cand_rank")
+    return run.rank("max", 10).select("s1_id", "cand_id", *_six("proxy"), "cand_rank")
 
 
 @query(f"SELECT s1_id, cand_id, {_VECTOR}, cand_rank FROM feat")
