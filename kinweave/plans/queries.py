@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from kinweave.functions import textnorm as tn
+from kinweave.functions.scores import round_scaled
 from kinweave.operators import blocking, evaluate, features, labels, model, quality, similarity
 from kinweave.plans.linkage import Config, Linkage
 from kinweave.sources import entities as src
@@ -199,11 +200,11 @@ def query(sql: str | None = None) -> Callable:
 
 
 def _six(*names: str) -> list[Column]:
-    return [F.round(n, 6).alias(n) for n in names]
+    return [round_scaled(F.col(n), 6).alias(n) for n in names]
 
 
 def _vector() -> list[Column]:
-    return [F.col(c) if c in ("token_overlap_count", "missing_address_flag") else F.round(c, 6).alias(c) for c in features.FEATURES]
+    return [F.col(c) if c in ("token_overlap_count", "missing_address_flag") else round_scaled(F.col(c), 6).alias(c) for c in features.FEATURES]
 
 
 @query(f"SELECT doc_id, coalesce({_norm('text')}, '') AS norm, NOT regexp_matches(coalesce(text, ''), '[^\\x00-\\x7F]') AS is_ascii FROM documents")

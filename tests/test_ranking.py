@@ -1,5 +1,8 @@
 """The ranking by blocks against the plain path over all pairs."""
 
+from pyspark.sql import functions as F
+
+from kinweave.functions.scores import round_scaled
 from kinweave.operators import blocking, features, ranking, similarity
 from kinweave.plans.linkage import Config, Linkage
 
@@ -21,3 +24,12 @@ def test_blocks_and_ranges_equal_all_pairs(spark, tmp_path):
     plain = features.features(similarity.with_sides(similarity.rank_by_proxy(run.pairs, "mean", 5).drop("addr_n_1", "addr_n_2"), features.bags(run.s1), features.bags(run.pool), features.SIDE))
     vector = lambda df: sorted(map(repr, df.select("s1_id", "cand_id", *features.FEATURES, "cand_rank").collect()))
     assert vector(run.features) == vector(plain)
+
+
+def test_halves_round_as_sql_does(spark):
+    import duckdb
+
+    pairs = [(0.811139396, 0.257048585), (0.5195755, 0.5195755), (0.25, 0.125)]
+    df = spark.createDataFrame(pairs, "a double, b double")
+    got = df.select(round_scaled((F.col("a") + F.col("b")) / 2, 9), round_scaled(F.col("a"), 6)).collect()
+    assert [tuple(r) for r in got] == [duckdb.sql(f"select round(({a}::double + {b}::double) / 2, 9), round({a}::double, 6)").fetchone() for a, b in pairs]
