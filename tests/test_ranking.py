@@ -32,4 +32,4 @@ def test_halves_round_as_sql_does(spark):
     pairs = [(0.811139396, 0.257048585), (0.5195755, 0.5195755), (0.25, 0.125)]
     df = spark.createDataFrame(pairs, "a double, b double")
     got = df.select(round_scaled((F.col("a") + F.col("b")) / 2, 9), round_scaled(F.col("a"), 6)).collect()
-    assert [tuple(r) for r in got] == [duckdb.sql(f"select round(({a}::double + {b}::double) / 2, 9), round({a}::double, 6)").fetchone() for a, b in pairs]
+    assert [tuple(r) for r in got] == [duckdb.sql(f"select round(({a}::double + {b}::double) / 2, 9), round({a}::double, 6)").fetchall()[0] for a, b in pairs]
