@@ -141,7 +141,7 @@ def _classes(sets: DataFrame, threshold: float = 0.8) -> DataFrame:
     part = nodes.select("node", F.explode(F.filter("h", lambda s: s < top)).alias("x"))
     held = nodes.join(setjoin.alone(part), "node", "left").where(setjoin.may_have_partner(threshold))
     profiles = settle(setjoin.profiles(settle(held.select("node", "n", "h")), threshold))
-    linked = components(setjoin.links(profiles, threshold))
+    linked = components(setjoin.links(profiles, threshold, tables=True))
     named = nodes.select("s", "s_other", "node", "least", "rows").join(linked, "node", "left").withColumn("root", F.coalesce("root", "node"))
     ids = named.groupBy("root").agg(F.min("least").alias("class_id"), F.sum("rows").alias("rows"))
     return settle(named.drop("rows").join(ids.where("rows > 1"), "root").select("s", "s_other", "class_id"))

@@ -11,7 +11,8 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from kinweave.llm import fixity, licenses, packing, pii, quality, sharding, simhash, spotsigs, tokens, topk
+from kinweave.llm import fixity, licenses, packing, pii, quality, setjoin, sharding, simhash, spotsigs, tokens, topk
+from kinweave.llm.components import components
 
 WORDS = "the stone of river and cloud in valley a garden is winter to harbor with candle on mirror der stern und le chat".split()
 
@@ -499,3 +500,23 @@ def test_warc_record_is_well_formed(spark):
     a, b = (bytes(r[0]) for r in df.select(fixity.warc_record(F.col("i"), F.col("u"), F.col("h"))).collect())
     assert a.startswith(b"WARC/1.1\r\n") and b"Content-Length: 2\r\n\r\n\xc3\xa9\r\n\r\n" in a
     assert b"Content-Length: 0\r\n\r\n\r\n\r\n" in b
+
+
+def test_set_join_compares_few_pairs_of_one_group(spark, monkeypatch):
+    # set 0 comes first under every member, but is alike to none of 300 sets that are alike to each other; set 301 makes all members as frequent
+    base = list(range(1000, 1042))
+    sets = {0: [*base[:35], 2000]} | {k: [*base, 5000 + k, 6000 + k] for k in range(1, 301)} | {301: [*base[35:], 2000, *range(7000, 7092)]}
+    met, alike = [], setjoin.alike
+
+    def counted(sets, pairs, similarity):
+        met.append(pairs.count())
+        return alike(sets, pairs, similarity)
+
+    monkeypatch.setattr(setjoin, "alike", counted)
+    df = spark.createDataFrame([(k, len(v), v) for k, v in sets.items()], "node long, n int, h array<int>")
+    profiles = setjoin.profiles(df, 0.8).localCheckpoint()
+    for tables, least, most in ((False, 40_000, 50_000), (True, 300, 10_000)):
+        met.clear()
+        root = {r["node"]: r["root"] for r in components(setjoin.links(profiles, 0.8, tables=tables)).collect()}
+        assert [root.get(k, k) for k in sets] == [0, *[1] * 300, 301]
+        assert least <= sum(met) < most
