@@ -348,7 +348,7 @@ def features_address(run, spark, sf_dir):
     f"FROM (SELECT *, {_plain('x.business_name')} AS x_name, {_plain('y.business_name')} AS y_name FROM ranked)"
 )
 def levenshtein_features(run, spark, sf_dir):
-    return features.edit_features(run.sides).select("s1_id", "cand_id", *_six("lev_name_raw", "lev_name_norm", "lev_name_strip", "lev_addr", "lev_proxy"))
+    return run.edits.select("s1_id", "cand_id", *_six("lev_name_raw", "lev_name_norm", "lev_name_strip", "lev_addr", "lev_proxy"))
 
 
 @query("SELECT s1_id, cand_id FROM truth")

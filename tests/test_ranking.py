@@ -25,6 +25,15 @@ def test_blocks_and_ranges_equal_all_pairs(spark, tmp_path):
     vector = lambda df: sorted(map(repr, df.select("s1_id", "cand_id", *features.FEATURES, "cand_rank").collect()))
     assert vector(run.features) == vector(plain)
 
+    edits = ["lev_name_raw", "lev_name_norm", "lev_name_strip", "lev_addr", "lev_proxy"]
+    levs = lambda df: sorted(map(repr, df.select("s1_id", "cand_id", "cand_rank", *edits).collect()))
+    texts = ranking.Extras(texts=features.EDITED)
+    split = ranking.rank(run.s1, run.pool, kept, *vectors, 7, "mean", 5, texts, pool_rows=40, s1_rows=9, finish=features.edit_features)
+    want = levs(features.edit_features(run.sides))
+    assert levs(run.edits) == want and levs(split) == want
+    above = run.edits._jdf.queryExecution().optimizedPlan().toString().split("FlatMapCoGroups")[0]
+    assert "Join" not in above and "Window" not in above  # pairs are not joined with their texts
+
 
 def test_halves_round_as_sql_does(spark):
     import duckdb
