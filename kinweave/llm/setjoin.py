@@ -58,9 +58,9 @@ def _can_reach(similarity: float, n: Column, at: Column, m: Column, other_at: Co
     return F.least(n - at, m - other_at) >= similarity / (1 + similarity) * (n + m) - 1e-9
 
 
-def _roots(edges: DataFrame, sets: DataFrame) -> DataFrame:
+def _roots(edges: DataFrame, sets: DataFrame, few: int) -> DataFrame:
     """(node, root) of all sets, by the components of the edges found so far."""
-    return settle(sets.select("node").join(components(edges), "node", "left").select("node", F.coalesce("root", "node").alias("root")))
+    return settle(sets.select("node").join(components(edges, few), "node", "left").select("node", F.coalesce("root", "node").alias("root")))
 
 
 def _sketched(sets: DataFrame) -> DataFrame:
@@ -72,7 +72,7 @@ def _sketched(sets: DataFrame) -> DataFrame:
     return each.join(leaders, "code").where("node <> v").select(F.col("node").alias("u"), "v")
 
 
-def links(sets: DataFrame, similarity: float, known: DataFrame | None = None, tables: bool = False) -> DataFrame:
+def links(sets: DataFrame, similarity: float, known: DataFrame | None = None, tables: bool = False, few: int = 0) -> DataFrame:
     """Edges (u, v) that have the components of all pairs of sets whose similarity reaches ``similarity``.
 
     ``sets`` are profiles; ``known`` are alike pairs found before. Sets are partitioned by size, a partition
@@ -84,6 +84,7 @@ def links(sets: DataFrame, similarity: float, known: DataFrame | None = None, ta
     outside the member's largest component are compared with all sets there of other components that the
     bound allows, each pair once a member. So rows grow with the sets, and with the pairs only for those that the bound cannot tell
     from alike ones. No pair is missed, each comparison is exact, and skewed members are joins that adaptive execution splits.
+    ``few`` is that of components().
     """
     early = (F.col("n") - least_common(similarity, F.col("n")) + 1 - F.col("own")).cast("int")
     part = lambda n: F.floor(F.log(F.col(n)) / math.log(1 / similarity) + 1e-9).cast("int")
@@ -94,7 +95,7 @@ def links(sets: DataFrame, similarity: float, known: DataFrame | None = None, ta
 
     none = sets.select(F.col("node").alias("u"), F.col("node").alias("v")).limit(0)
     first = none if known is None else known
-    roots = sets.select("node", F.col("node").alias("root")) if known is None else _roots(first, sets)
+    roots = sets.select("node", F.col("node").alias("root")) if known is None else _roots(first, sets, few)
     rooted = keyed.withColumn("root", F.col("node")) if known is None else keyed.join(roots, "node")
     place = F.struct((F.col("at") / F.col("n")).alias("share"), "node", "n", "at", "root")
     several = rooted.groupBy(*key).agg(F.min(place).alias("leader"), F.min("root").alias("a"), F.max("root").alias("b")).where("a < b")
@@ -103,7 +104,7 @@ def links(sets: DataFrame, similarity: float, known: DataFrame | None = None, ta
     met = led.select(F.col("node").alias("u"), F.col("leader.node").alias("v"))
     second = settle(alike(sets, (met.unionByName(_sketched(sets)) if tables else met).distinct(), similarity))
     merged = second if known is None else roots.select(F.col("node").alias("u"), F.col("root").alias("v")).unionByName(second)
-    roots = _roots(merged, sets)
+    roots = _roots(merged, sets, few)
 
     rooted = keyed.join(roots, "node")
     counted = rooted.groupBy(*key, "root").agg(F.count("*").alias("members")).groupBy(*key)

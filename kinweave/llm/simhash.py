@@ -139,6 +139,8 @@ def hex16(f: Column) -> Column:
 SKETCH_WORDS, TABLE_RADIUS = 12, 3
 #: Pairs that meet in a table are compared if the estimate of their likeness is at most this much under the one asked for.
 DOUBT = 0.1
+#: Edges of near copies that one task joins; more are contracted in rounds.
+FEW_EDGES = 100_000
 #: Odd multiplier that mixes the hashes of a shingle's words, and the id that stands for null in a join.
 MIX, NO_ID = 0x9E3779B97F4A7C15, -(1 << 63)
 
@@ -265,7 +267,7 @@ def near_copies(docs: DataFrame, words: int = 5, similarity: float = 0.8) -> Dat
     nodes = settle(nodes.withColumn("node", F.monotonically_increasing_id()))  # numbers of written rows
     sets = _profiles(docs, _hopeful(docs, nodes, words, similarity), words, similarity)
     met = settle(setjoin.alike(sets, _met_in_tables(sets, similarity), similarity))
-    linked = components(setjoin.links(sets, similarity, met))
+    linked = components(setjoin.links(sets, similarity, met, few=FEW_EDGES), FEW_EDGES)
     named = nodes.select("s", "s_other", "node", "least").join(linked, "node", "left").withColumn("root", F.coalesce("root", "node"))
     ids = named.groupBy("root").agg(F.min("least").alias("class_id"))
     of = named.join(ids, "root").select("s", "s_other", "class_id")

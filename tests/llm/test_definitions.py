@@ -11,6 +11,7 @@ import pytest
 import xxhash
 
 from kinweave.llm import licenses, packing, pii, quality, sharding, simhash, spotsigs, tokens
+from kinweave.llm.components import components
 
 #: Doubles cannot tell these numbers apart; they stand beside a null in one batch.
 LARGE = [2**53 + 1, 2**53 + 3, -(2**53) - 1, None]
@@ -113,6 +114,28 @@ def test_near_copies_equal_brute_force(spark):
     assert {r.doc_id: r.class_id for r in simhash.near_copies(df).collect()} == {7 * k: 7 * least[root[k]] for k in range(len(texts))}
 
 
+def test_few_links_of_near_copies_need_no_rounds(spark, monkeypatch):
+    """Each round of the contraction adds several jobs to what the driver holds; a graph that fits one task gets none, with the same components."""
+    texts = near_copy_texts()
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
+    sc, found, jobs = spark.sparkContext, {}, {}
+    for few in (0, simhash.FEW_EDGES):
+        monkeypatch.setattr(simhash, "FEW_EDGES", few)
+        sc.setJobGroup(f"few-{few}", "")
+        found[few] = {r.doc_id: r.class_id for r in simhash.near_copies(df).collect()}
+        jobs[few] = len(sc.statusTracker().getJobIdsForGroup(f"few-{few}"))
+    sc.setLocalProperty("spark.jobGroup.id", None)
+    assert found[0] == found[few] and 10 * jobs[few] < 7 * jobs[0], jobs
+
+
+def test_components_in_one_task_equal_rounds(spark):
+    pairs = [(k, k + 1) for k in range(-300, 300)] + [(5000, k) for k in range(5001, 5200)] + [(2**62 + k, 2**62) for k in range(1, 9)] + [(7, 7), (9000, 9000)]
+    edges = spark.createDataFrame([*pairs, *[p[::-1] for p in pairs]], "u long, v long").repartition(4)
+    of = lambda few: {r.node: r.root for r in components(edges, few).collect()}
+    assert of(0) == of(10_000) == of(806) and of(0)[300] == -300
+    assert components(edges.limit(0), 10).count() == 0
+
+
 def test_most_links_come_from_the_covering_tables(spark):
     """The exact way after the tables is for the rest."""
     own = [words(f"t{k}", 300) for k in range(20)]
