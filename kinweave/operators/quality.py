@@ -23,20 +23,21 @@ PREFIXES = ("S2-", "S3-")
 def medians(flat: DataFrame, keys: list[str], value: str) -> DataFrame:
     """Exact median of each group (keys..., median); nulls don't count, and a group of nulls alone has no row.
 
-    Rows become counts of distinct values first. A histogram of a group then tells in which of its bins the middle
-    ranks lie, and only the distinct values of these bins are ordered, so no group's values meet in one buffer. Bins cut
+    A histogram of a group, which is counted before rows are moved, tells in which of its bins the middle ranks lie. The rows are
+    read again for these bins alone, become counts of distinct values and are ordered, so no group's values meet in one buffer. Bins cut
     the range from 0 to 1, where the features lie; values outside it are in the first and the last.
     """
     bin_of = F.floor(F.least(F.greatest(F.col("v"), F.lit(0.0)), F.lit(1.0)) * (BINS - 1)).cast("int")
-    distinct = flat.where(F.col(value).isNotNull()).groupBy(*keys, F.col(value).alias("v")).agg(F.count("*").alias("c")).withColumn("bin", bin_of)
+    binned = flat.where(F.col(value).isNotNull()).select(*keys, F.col(value).alias("v")).withColumn("bin", bin_of)
     all_of = Window.partitionBy(*keys)
     before = lambda w: F.coalesce(F.sum("c").over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    bins = distinct.groupBy(*keys, "bin").agg(F.sum("c").alias("c"))
+    bins = binned.groupBy(*keys, "bin").agg(F.count("*").alias("c"))
     bins = bins.select(*keys, "bin", "c", before(all_of.orderBy("bin")).alias("below"), F.sum("c").over(all_of).alias("n"))
     low, high = F.floor((F.col("n") - 1) / 2), F.floor(F.col("n") / 2)
     holds = lambda rank, at: (at <= rank) & (rank < at + F.col("c"))
     middle = bins.where(holds(low, F.col("below")) | holds(high, F.col("below"))).select(*keys, "bin", "below", "n")  # two rows a group at most
-    inside = distinct.join(F.broadcast(middle), [*keys, "bin"]).withColumn("at", F.col("below") + before(Window.partitionBy(*keys, "bin").orderBy("v")))
+    distinct = binned.join(F.broadcast(middle), [*keys, "bin"]).groupBy(*keys, "bin", "below", "n", "v").agg(F.count("*").alias("c"))
+    inside = distinct.withColumn("at", F.col("below") + before(Window.partitionBy(*keys, "bin").orderBy("v")))
     pick = lambda rank: F.max(F.when(holds(rank, F.col("at")), F.col("v")))
     return inside.groupBy(*keys).agg(((pick(low) + pick(high)) / 2).alias("median"))
 
@@ -45,7 +46,8 @@ def feature_medians(labelled: DataFrame) -> DataFrame:
     """Median of each gate feature by class; nulls don't count: feature, is_match, median (null if all are)."""
     rows = F.array(*[F.struct(F.lit(f).alias("feature"), F.col(f).cast("double").alias("v")) for f in GATE_FEATURES])
     flat = labelled.select("is_match", F.explode(rows).alias("r")).select("is_match", "r.*")
-    return flat.select("feature", "is_match").distinct().join(medians(flat, ["feature", "is_match"], "v"), ["feature", "is_match"], "left")
+    every = labelled.select("is_match").distinct().select(F.explode(F.array(*map(F.lit, GATE_FEATURES))).alias("feature"), "is_match")
+    return every.join(medians(flat, ["feature", "is_match"], "v"), ["feature", "is_match"], "left")
 
 
 def adversarial_gate(labelled: DataFrame, by: str = "name_cos", floor: float = 0.99, gap: float = 0.1) -> DataFrame:

@@ -3,6 +3,7 @@ import itertools
 import json
 import math
 import random
+import re
 import statistics
 
 import pytest
@@ -152,6 +153,15 @@ def test_labels_and_degrees_by_text_equal_all_pairs(spark):
     assert set(labels.label_by_text(both).where("is_match = 1").select("s1_id", "cand_id").collect()) == set(truth.collect())
 
 
+def test_medians_move_only_the_values_of_the_middle_bins(spark):
+    """Grouping all rows by value moves nearly all of them where values are mostly distinct."""
+    rows = [(g, None if k % 7 == 0 else (k * 7919 % 10007) / 9000 - 0.05) for g in "ab" for k in range(3000 + 501 * (g == "b"))]
+    found = quality.medians(spark.createDataFrame(rows, "g string, v double"), ["g"], "v")
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert "Join" in plan and not re.search(r"Aggregate \[g#\d+, v#\d+\]", plan)
+    assert {r.g: r["median"] for r in found.collect()} == {g: statistics.median(v for h, v in rows if h == g and v is not None) for g in "ab"}
+
+
 def test_medians_are_exact(spark):
     rng = random.Random(4)
     rows = [(g, rng.choice([0.0, 1.0, rng.random(), rng.random() / 1e4, 2.5, -3.0, None])) for g in "abcdefg" for _ in range(rng.randint(1, 60))] + [("none", None)]
