@@ -590,4 +590,4 @@ def gbt_scored_pairs(run, spark, sf_dir):
     """Boosted trees fitted on the training entities, scoring the validation entities' pairs."""
     sampled = labels.sample_negatives(run.labelled, labels.sample_ids(run.s1, 0.18), 1.0).persist()
     fitted = model.fit(sampled.where("is_val = 0").drop("is_val"))
-    return model.predict(fitted, sampled.where("is_val = 1").drop("is_val")).select("s1_id", "cand_id", "is_match", "proba")
+    return model.predict(fitted, model.behind(sampled.where("is_val = 1").drop("is_val"))).select("s1_id", "cand_id", "is_match", "proba")
